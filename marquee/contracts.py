@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
-
 MOVIE, TV, PERSON = "movie", "tv", "person"
 
 # Landing folders, and the media type each one holds.
@@ -64,21 +62,22 @@ _CONTENT = """id bigint, {title} string, original_language string, overview stri
 popularity string, vote_average string, vote_count string, genre_ids array<int>,
 poster_path string, backdrop_path string, budget string, revenue string, _corrupt_record string"""
 
+# Schemas are DDL text, readable without a session.
 # Numbers and dates land as text, so one bad value cannot spoil its record; casting is a later step.
 RAW_SCHEMAS = {
-    MOVIE: StructType.fromDDL(_CONTENT.format(title="title", day="release_date")),
-    TV: StructType.fromDDL(_CONTENT.format(title="name", day="first_air_date")),
-    PERSON: StructType.fromDDL(
+    MOVIE: _CONTENT.format(title="title", day="release_date"),
+    TV: _CONTENT.format(title="name", day="first_air_date"),
+    PERSON: (
         "id bigint, name string, popularity string, known_for_department string, "
         "profile_path string, _corrupt_record string"
     ),
 }
 
-CREDITS_SCHEMA = StructType.fromDDL(
+CREDITS_SCHEMA = (
     "id bigint, credits struct<cast: array<struct<id: bigint, name: string, character: string, order: int, "
     "known_for_department: string, popularity: double>>>"
 )
-RESPONSE_SCHEMA = StructType.fromDDL("results array<struct<id: bigint, title: string, name: string, popularity: double>>")
+RESPONSE_SCHEMA = "results array<struct<id: bigint, title: string, name: string, popularity: double>>"
 
 UNIFIED_COLUMNS = [
     "id",
@@ -161,28 +160,28 @@ GOLD_PARTITIONS = {
 }
 
 STAR_SCHEMA = {
-    "dim_genres": StructType.fromDDL("genre_id int, name string"),
-    "dim_movies": StructType.fromDDL(
+    "dim_genres": "genre_id int, name string",
+    "dim_movies": (
         "movie_id bigint, title string, original_language string, overview string, release_date date, runtime int, "
         "budget bigint, revenue bigint, roi double, poster_url string, backdrop_url string, updated_at timestamp"
     ),
-    "dim_people": StructType.fromDDL(
+    "dim_people": (
         "person_id bigint, name string, profile_url string, known_for_department string, popularity double, "
         "updated_at timestamp"
     ),
-    "bridge_movie_genres": StructType.fromDDL("movie_id bigint, genre_id int"),
-    "bridge_movie_cast": StructType.fromDDL(
+    "bridge_movie_genres": "movie_id bigint, genre_id int",
+    "bridge_movie_cast": (
         "movie_id bigint, person_id bigint, character_name string, cast_order int"
     ),
-    "fact_daily_trends": StructType.fromDDL(
+    "fact_daily_trends": (
         "movie_id bigint, media_type string, date date, position int, position_change int, popularity double, "
         "vote_average double, vote_count int"
     ),
-    "agg_weekly_summary": StructType.fromDDL(
+    "agg_weekly_summary": (
         "movie_id bigint, media_type string, week_start date, days_trending bigint, avg_position double, "
         "best_position int, avg_popularity double, popularity_change_pct double"
     ),
-    "agg_monthly_genres": StructType.fromDDL(
+    "agg_monthly_genres": (
         "month date, genre_id int, trending_count bigint, avg_popularity double, avg_vote_average double, "
         "top_movie_id bigint, total_budget bigint, total_revenue bigint, avg_roi double"
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.contracts import GENRES, MOVIE, TV
+from marquee.contracts import CREDITS_SCHEMA, GENRES, MOVIE, TV
 from marquee.functions import calendar, labels, lenient
 from marquee.functions.genres import genre_names
 from marquee.operators import clean
@@ -223,8 +223,6 @@ def positioned_entries(t: Tables) -> DataFrame:
 )
 def billed_cast(t: Tables) -> DataFrame:
     """Credits with three entries per title, of which the first two are kept."""
-    from marquee.contracts import CREDITS_SCHEMA
-
     size = F.col("p_size")
     people = F.array(
         F.struct(size.alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("character"),
@@ -297,7 +295,7 @@ _MONEY_LABEL = """case when v >= 1e9 then '$' || format('{:.1f}B', v / 1e9)
 def amount_labels(t: Tables) -> DataFrame:
     revenue = F.col("revenue")
     amounts = model.movies(t).select(
-        "movie_id", F.explode(F.array(revenue, revenue * 300, revenue * 0)).cast("double").alias("v")
+        "movie_id", F.explode(F.array(revenue, revenue * 300, revenue * 0).cast("array<double>")).alias("v")
     )
     return amounts.select(
         "movie_id",
@@ -345,19 +343,19 @@ def star_labels(t: Tables) -> DataFrame:
 @query(
     "F15 F21 F23",
     """select page_id,
-    case when page_id % 3 = 0 then '' else 'https://images.example.org/t/w500/' || page_id end as poster_url,
-    substr(html, 1, 25) as short_title, coalesce(case when page_id % 2 = 0 then null else url end, html) as title,
-    case when page_id % 5 = 0 then null else url end as released from pages""",
+    case when url like 'https%' then '' else 'https://images.example.org/t/w500/' || page_id end as poster_url,
+    substr(html, 1, 25) as short_title, coalesce(case when url like '%#top' then null else url end, html) as title,
+    case when url like '%/en/%' then null else url end as released from pages""",
 )
 def text_labels(t: Tables) -> DataFrame:
-    page = F.col("page_id")
-    path = F.when(page % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("/"), page.cast("string")))
+    url = F.col("url")
+    path = F.when(url.startswith("https"), "").otherwise(F.concat(F.lit("/"), F.col("page_id").cast("string")))
     rows = t.pages.select(
         "page_id",
         path.alias("path"),
         "html",
-        F.when(page % 2 == 0, None).otherwise(F.col("url")).alias("first_name"),
-        F.when(page % 5 == 0, "").otherwise(F.col("url")).alias("day"),
+        F.when(url.endswith("#top"), None).otherwise(url).alias("first_name"),
+        F.when(url.contains("/en/"), "").otherwise(url).alias("day"),
     )
     return rows.select(
         "page_id",

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.contracts import STAR_KEYS, STAR_SCHEMA
 from marquee.operators.quality import require_unique
@@ -53,11 +54,11 @@ class Warehouse:
         else:
             version = self._version(name)
             found = self._read(f"{self.root}/{name}/v{version}", STAR_SCHEMA[name]) if version else None
-        return self._empty(name) if found is None else found.select(*STAR_SCHEMA[name].fieldNames())
+        return self._empty(name) if found is None else found.select(*StructType.fromDDL(STAR_SCHEMA[name]).fieldNames())
 
     def merge(self, name: str, batch: DataFrame, how: Merge, unique: bool = True) -> int:
         """Merge a batch into a table and return the rows written."""
-        schema = STAR_SCHEMA[name]
+        schema = StructType.fromDDL(STAR_SCHEMA[name])
         typed = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in batch.columns])
         absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in batch.columns}
         # The batch is used for the key check, the touched dates and the merge: compute it once.

@@ -12,7 +12,7 @@ from marquee.sources.layers import with_month_partitions
 
 def landed_stream(spark: SparkSession, base: str, feed: str, source: str) -> DataFrame:
     """New landed records with lineage; the day comes from the folder name."""
-    schema = RAW_SCHEMAS[FEEDS[feed]].add("date", "date")
+    schema = f"{RAW_SCHEMAS[FEEDS[feed]]}, date date"
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     return (
         reader.json(f"{base}/raw/{feed}")
