@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.keys import deduplicate
+
 
 def upsert(
     target: DataFrame,
@@ -47,9 +49,10 @@ def replace_by_key(target: DataFrame, batch: DataFrame, key: list[str]) -> DataF
     return kept.unionByName(batch.select(*target.columns))
 
 
-def insert_absent(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """Add batch rows whose key is new, one per key; existing rows stay."""
-    fresh = batch.select(*target.columns).dropDuplicates(key).join(target.select(*key), key, "left_anti")
+def insert_absent(target: DataFrame, batch: DataFrame, key: list[str], order_by: list[Column] | None = None) -> DataFrame:
+    """Add batch rows whose key is new; existing rows stay. Of a repeated key the first row in order is added."""
+    first = deduplicate(batch.select(*target.columns), key, order_by or [], keep="first")
+    fresh = first.join(target.select(*key), key, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 

@@ -118,15 +118,16 @@ def week_over_week(weekly: DataFrame) -> DataFrame:
 def daily_genre_trends(fact: DataFrame, genres: DataFrame) -> DataFrame:
     """Rows, popularity and rating per day and genre, with a 30-row moving average.
 
-    The moving window runs over days of one genre, so it is bounded by the days kept.
+    Rows of a title and day are combined before the join, so a title with most
+    of the rows meets the bridge as one row per day. The moving window runs over
+    the days of one genre, so it is bounded by the days kept.
     """
-    joined = fact.join(genres, "movie_id").withColumns(
-        {"_popularity": fixed("popularity"), "_vote_average": fixed("vote_average")}
-    )
+    per_title = _measures(fact, ["date", "movie_id"])
+    joined = per_title.join(genres.select("movie_id", "genre_id", "genre_name"), "movie_id")
     daily = joined.groupBy("date", "genre_id", "genre_name").agg(
-        F.count("*").alias("trending_count"),
-        mean(F.sum("_popularity"), F.count("_popularity"), 1).alias("avg_popularity"),
-        mean(F.sum("_vote_average"), F.count("_vote_average"), 2).alias("avg_vote_average"),
+        F.sum("_rows").alias("trending_count"),
+        mean(F.sum("_popularity"), F.sum("_popularity_rows"), 1).alias("avg_popularity"),
+        mean(F.sum("_vote_average"), F.sum("_vote_rows"), 2).alias("avg_vote_average"),
     )
     return moving_genre_popularity(daily)
 
@@ -138,24 +139,24 @@ def moving_genre_popularity(daily: DataFrame) -> DataFrame:
     return moved.withColumn("avg_popularity_30d", mean("_sum", "_rows", 1, scale=1)).drop("_sum", "_rows")
 
 
-def per_title_month(fact: DataFrame, day: str = "date") -> DataFrame:
-    """Monthly sums per title: what joins to genres instead of the daily rows."""
-    return (
-        fact.withColumns(
-            {"month": month_start(day), "_popularity": fixed("popularity"), "_vote_average": fixed("vote_average")}
-        )
-        .groupBy("month", "movie_id")
-        .agg(
-            F.count("*").alias("_rows"),
-            F.sum("_popularity").alias("_popularity"),
-            F.count("_popularity").alias("_popularity_rows"),
-            F.sum("_vote_average").alias("_vote_average"),
-            F.count("_vote_average").alias("_vote_rows"),
-            F.max("_popularity").alias("_peak"),
-        )
+def _measures(fact: DataFrame, by: list[str]) -> DataFrame:
+    """Sums and counts from which averages over any union of the groups follow exactly."""
+    units = fact.withColumns({"_popularity": fixed("popularity"), "_vote_average": fixed("vote_average")})
+    return units.groupBy(*by).agg(
+        F.count("*").alias("_rows"),
+        F.sum("_popularity").alias("_popularity"),
+        F.count("_popularity").alias("_popularity_rows"),
+        F.sum("_vote_average").alias("_vote_average"),
+        F.count("_vote_average").alias("_vote_rows"),
+        F.max("_popularity").alias("_peak"),
     )
 
 
+def per_title_month(fact: DataFrame, day: str = "date") -> DataFrame:
+    """Monthly measures per title: what joins to genres instead of the daily rows."""
+    return _measures(fact.withColumn("month", month_start(day)), ["month", "movie_id"])
+
+
 def monthly_genres(fact: DataFrame, bridge: DataFrame, finance: DataFrame | None = None) -> DataFrame:
     """Monthly star-schema aggregate per genre, with its most popular title.
 

@@ -176,9 +176,10 @@ def upsert_genres(warehouse: Warehouse, rows: DataFrame) -> int:
 
 
 def link(warehouse: Warehouse, bridge: str, rows: DataFrame) -> int:
-    """Add links that do not exist yet."""
+    """Add links that do not exist yet; of a repeated one the first billing counts."""
     key = STAR_KEYS[bridge]
-    return warehouse.merge(bridge, rows, lambda old, new: merge.insert_absent(old, new, key), unique=False)
+    order = [F.col("cast_order")] if bridge == "bridge_movie_cast" else []
+    return warehouse.merge(bridge, rows, lambda old, new: merge.insert_absent(old, new, key, order), unique=False)
 
 
 def upsert_facts(warehouse: Warehouse, rows: DataFrame) -> int:

@@ -50,9 +50,14 @@ def chart(t: Tables) -> DataFrame:
     )
 
 
-def fact(t: Tables) -> DataFrame:
-    """Chart with the day's position, ranked over all media types."""
-    return daily_positions(chart(t), "date")
+def fact(t: Tables, days: Column | None = None) -> DataFrame:
+    """Chart with the day's position, ranked over all media types.
+
+    A query about some days names them here: the others are then cut at the scan
+    and not ranked at all.
+    """
+    rows = chart(t)
+    return daily_positions(rows if days is None else rows.filter(days), "date")
 
 
 def content(t: Tables) -> DataFrame:

@@ -23,6 +23,10 @@ _FACT = f"""{CHART}, {_TITLES}, newest as (select max(date) as day from fact)"""
 _FACT_COLUMNS = "movie_id, media_type, date, position, popularity, vote_average, vote_count"
 
 
+def _fact_on(t: Tables, day: Column) -> DataFrame:
+    return model.fact(t, F.col("date") == day)
+
+
 def _newest_week(t: Tables) -> Column:
     return t.events.agg(F.date_trunc("week", F.max("ts").cast("date")).cast("date")).scalar()
 
@@ -55,7 +59,8 @@ def dashboard_kpis(t: Tables) -> DataFrame:
       order by position, movie_id limit 5) join titles using (movie_id)""",
 )
 def top_trending(t: Tables) -> DataFrame:
-    return serving.top_trending(model.fact(t), model.titles(t), _MEDIA, newest=model.newest_day(t))
+    newest = model.newest_day(t)
+    return serving.top_trending(_fact_on(t, newest), model.titles(t), _MEDIA, newest=newest)
 
 
 _GENRE_ROWS = f"""{_FACT}, {WORDS},
@@ -95,7 +100,9 @@ def genre_shares(t: Tables) -> DataFrame:
     group by 1, 2""",
 )
 def popularity_timeline(t: Tables) -> DataFrame:
-    series = serving.popularity_timeline(model.fact(t), model.titles(t), _MEDIA, newest=model.newest_day(t))
+    newest = model.newest_day(t)
+    week = model.fact(t, F.col("date") >= F.date_sub(newest, 6))
+    series = serving.popularity_timeline(week, model.titles(t), _MEDIA, newest=newest)
     units = F.transform("values", lambda v: F.rint(v * 100).cast("bigint").cast("string"))
     return series.select(
         "movie_id",
@@ -112,7 +119,8 @@ def popularity_timeline(t: Tables) -> DataFrame:
 )
 def daily_page(t: Tables) -> DataFrame:
     """A malformed date shows the latest day."""
-    return serving.daily_page(model.fact(t), model.titles(t), "2024-13-01", "all", model.newest_day(t))
+    newest = model.newest_day(t)
+    return serving.daily_page(_fact_on(t, newest), model.titles(t), "2024-13-01", "all", newest)
 
 
 @query(
@@ -121,7 +129,8 @@ def daily_page(t: Tables) -> DataFrame:
     where date = date '2024-01-15' and media_type = '{_MEDIA}'""",
 )
 def daily_page_of_day(t: Tables) -> DataFrame:
-    return serving.daily_page(model.fact(t), model.titles(t), "2024-01-15", _MEDIA)
+    day = "2024-01-15"
+    return serving.daily_page(_fact_on(t, F.lit(day).cast("date")), model.titles(t), day, _MEDIA)
 
 
 @query(

@@ -89,7 +89,8 @@ def position_changes(t: Tables) -> DataFrame:
     left join fact p on p.date = day - interval 1 day and p.movie_id = c.movie_id and p.media_type = c.media_type""",
 )
 def changes_since_yesterday(t: Tables) -> DataFrame:
-    fact, newest = model.fact(t), model.newest_day(t)
+    newest = model.newest_day(t)
+    fact = model.fact(t, F.col("date") >= F.date_sub(newest, 1))
     rows = fact.select("movie_id", "media_type", "position", "date")
     current = rows.filter(F.col("date") == newest).drop("date")
     previous = rows.filter(F.col("date") == F.date_sub(newest, 1))
