@@ -3,7 +3,7 @@
 Floating sums depend on the order in which partial results meet. Measures are
 therefore summed as whole hundredths in a bigint, which is associative and stays
 in the fast path of hash aggregation, and only the final quotient is rounded,
-half up, in decimal.
+half up, in integer arithmetic.
 """
 
 from __future__ import annotations
@@ -27,19 +27,31 @@ def unfixed(units: Column | str, digits: int = DIGITS) -> Column:
     return _col(units) / F.lit(float(10**digits))
 
 
-def _quotient(numerator: Column, denominator: Column) -> Column:
+def _half_up(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
+    """numerator * 10**shift / denominator, rounded half up to whole units, as units of 10**-digits.
+
+    Quotient and remainder in bigint are exact and cost next to nothing per row.
+    Operands so large that they might overflow take the decimal way instead.
+    """
+    scale = 10**shift
+    safe = (2**63 - 1) // (2 * scale + 1)
+    top, bottom = numerator.cast("bigint"), F.nullif(denominator.cast("bigint"), F.lit(0).cast("bigint"))
+    size, step = F.abs(top), F.lit(scale).cast("bigint")
+    rest = F.call_function("div", (size % bottom) * step * 2 + bottom, bottom * 2)
+    units = F.call_function("div", size, bottom) * step + rest
+    quick = F.when(top < 0, -units).otherwise(units) / F.lit(float(10**digits))
     wide = "decimal(20,0)"
-    return numerator.cast(wide) / F.nullif(denominator.cast(wide), F.lit(0).cast(wide))
+    slow = (F.round(top.cast(wide) / bottom.cast(wide), shift) * 10 ** (shift - digits)).cast("double")
+    return F.when((size <= safe) & (bottom <= safe), quick).otherwise(slow)
 
 
 def ratio(numerator: Column | str, denominator: Column | str, digits: int) -> Column:
-    """Quotient of two bigints, rounded half up; null for a zero denominator."""
-    return F.round(_quotient(_col(numerator), _col(denominator)), digits).cast("double")
+    """Quotient of two bigints, rounded half up; null for a zero denominator, which must not be negative."""
+    return _half_up(_col(numerator), _col(denominator), digits, digits)
 
 
 def percent(numerator: Column | str, denominator: Column | str, digits: int) -> Column:
-    exact = F.round(_quotient(_col(numerator), _col(denominator)), digits + 2)
-    return (exact * 100).cast("double")
+    return _half_up(_col(numerator), _col(denominator), digits + 2, digits)
 
 
 def mean(units: Column | str, count: Column | str, digits: int, scale: int = DIGITS) -> Column:

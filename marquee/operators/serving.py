@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.contracts import ENRICH_TITLES, PAGE_ROWS, SHOWN_CAST
+from marquee.functions.exact import percent
 from marquee.functions.labels import bubble_size, short_title
 from marquee.operators.keys import top_rows
 
@@ -123,8 +124,7 @@ def genre_counts(rows: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataF
 def with_share(counted: DataFrame, total: DataFrame | None = None) -> DataFrame:
     """Each row's part of all rows, in percent: a scalar subquery, not a one-task window."""
     whole = (counted if total is None else total).agg(F.sum("rows")).scalar()
-    share = F.col("rows").cast("decimal(20,0)") / whole.cast("decimal(20,0)")
-    return counted.withColumn("share_pct", (F.round(share, 4) * 100).cast("double"))
+    return counted.withColumn("share_pct", percent("rows", whole, 2))
 
 
 def popularity_timeline(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.functions.exact import fixed, mean, unfixed
 from marquee.functions.labels import image_url
@@ -18,6 +19,10 @@ from marquee.operators.trends import daily_positions
 IMAGE_BASE = "https://images.example.org/t"
 
 
+# Schemas by table path: a footer is read once, not once per query.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The supplied Parquet tables as attributes."""
 
@@ -27,7 +32,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def newest_day(t: Tables) -> Column:

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the Python call site of every column costs the driver more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

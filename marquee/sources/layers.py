@@ -20,9 +20,11 @@ def read_layer(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
 def write_counted(df: DataFrame, path: str, mode: str, partitions: list[str], overwrite: str = "dynamic") -> int:
     """Write a table and return its row count."""
     seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if partitions:
-        observed = observed.hint("rebalance", *partitions)
+        df = df.hint("rebalance", *partitions)
+    # Observed after the shuffle, in the stage that writes: a map task run again after
+    # a lost executor is not counted twice.
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).option("partitionOverwriteMode", overwrite)
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
     return seen.get["rows"]

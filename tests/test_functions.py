@@ -1,6 +1,7 @@
 """Column expressions, with the edge values that differ between engines."""
 
 import datetime as dt
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -27,6 +28,24 @@ def test_percent_and_ratio(spark):
     assert [tuple(r) for r in got] == [(33.3, 0.33), (-12.5, -0.13), (None, None)]
 
 
+def test_large_operands_take_the_decimal_way(spark):
+    big = 9 * 10**18
+    df = spark.createDataFrame([(big, 7), (-big, 7), (3, big), (big, big - 1)], "a bigint, b bigint")
+    got = [r[0] for r in df.select(exact.ratio("a", "b", 2)).collect()]
+    assert got == [big / 7, -big / 7, 0.0, 1.0]
+    assert df.select(exact.percent("a", "b", 1)).collect()[2][0] == 0.0
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.integers(-(10**18), 10**18), st.integers(1, 10**17), st.sampled_from([0, 1, 2, 4]))
+def test_ratio_against_exact_fractions(spark, top, bottom, digits):
+    df = spark.createDataFrame([(top, bottom)], "a bigint, b bigint")
+    scaled = Fraction(abs(top) * 10**digits, bottom)
+    units = (2 * scaled.numerator + scaled.denominator) // (2 * scaled.denominator)
+    expected = (-units if top < 0 else units) / 10**digits
+    assert df.select(exact.ratio("a", "b", digits)).first()[0] == expected
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(0, 10**7), min_size=1, max_size=40))
 def test_sums_do_not_depend_on_partitions(spark, cents):
