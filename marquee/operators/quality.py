@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,22 @@ def require_columns(df: DataFrame, media: str) -> None:
         raise QualityError(f"{media}: missing columns {missing}, have {sorted(df.columns)}")
 
 
+def require_values(df: DataFrame, media: str) -> None:
+    """Fail if no record at all carries a required field.
+
+    Under a fixed schema a field the feed dropped reads as null everywhere. The
+    first complete record settles it; only a feed without one is counted through.
+    """
+    required = REQUIRED.get(media, [])
+    complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in required], F.lit(True))
+    if not df.filter(complete).isEmpty():
+        return
+    present = _one_row(df.agg(*[F.count(name).alias(name) for name in required]))
+    missing = sorted(name for name, values in present.items() if not values)
+    if missing:
+        raise QualityError(f"{media}: no record has {missing}")
+
+
 def _one_row(df: DataFrame) -> dict[str, Any]:
     return df.first().asDict()
 

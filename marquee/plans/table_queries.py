@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators import merge, quality, rollups, trends
-from marquee.plans import model
+from marquee.plans import jobs, model
 from marquee.plans.model import Tables
 from marquee.plans.registry import CAST, CHART, CONTENT, MONEY, WORDS, query
 from marquee.plans.trend_queries import MONTHLY, WEEKLY_CHANGE
@@ -419,3 +421,24 @@ def run_summary(t: Tables) -> DataFrame:
         written = layers.write_counted(df, fresh_path(t.spark, "run"), "overwrite", ["date"])
         rows.append({"table": name, "rows_read": written, "rows_written": written, "status": "SUCCESS"})
     return layers.run_summary(t.spark, rows)
+
+
+@query(
+    "S3 S16 Q1 Q7",
+    f"""with {CHART}, reports(name, rows_written, status) as (
+      select 'trending_movies', count(*), 'SUCCESS' from chart
+      where media_type = 'click' and date = date '2024-01-15'
+      union all select 'trending_tv', null, 'FAILED' union all select 'trending_people', 0, 'EMPTY')
+    select name as "table", rows_written, status, 'partial_failure' as outcome from reports""",
+)
+def ingest_reports(t: Tables) -> DataFrame:
+    """One good feed, one whose records lack a required field, one without records."""
+    base = fresh_path(t.spark, "ingest")
+    _landed(t, base)
+    shows = model.content(t).select("id", F.col("title").alias("name"), F.col("extraction_date").alias("date"))
+    landing.write_landing(shows, base, "trending_tv")
+    nobody = shows.select("id", "name").filter(F.lit(False))
+    landing.write_snapshot(nobody, landing.landing_path(base, "trending_people", "2024-01-15"))
+    reports = jobs.raw_to_bronze(t.spark, base, dt.date(2024, 1, 15))
+    summary = layers.run_summary(t.spark, reports).select("table", "rows_written", "status")
+    return summary.withColumn("outcome", F.lit(quality.overall_status(reports, [])))

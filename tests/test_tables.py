@@ -22,6 +22,16 @@ def test_required_columns(spark):
         quality.require_columns(spark.range(1), MOVIE)
 
 
+def test_required_values(spark):
+    schema = "id bigint, name string, popularity string, known_for_department string"
+    whole = spark.createDataFrame([(1, None, "1", "x"), (2, "a", "1", "x")], schema)
+    split = spark.createDataFrame([(1, None, "1", "x"), (2, "a", None, "x")], schema)
+    quality.require_values(whole, "person")
+    quality.require_values(split, "person")
+    with pytest.raises(quality.QualityError, match="known_for_department"):
+        quality.require_values(whole.withColumn("known_for_department", F.lit(None).cast("string")), "person")
+
+
 @pytest.mark.parametrize(
     "items, valid", [([], False), ([(1, "s", "t"), (2, "s", "t")], True), ([(1, "s", None)], False), ([(None, "s", "t")], False)]
 )
