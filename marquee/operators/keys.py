@@ -1,20 +1,11 @@
-"""Joins on keys that may be null, and keep-one-row-per-key."""
+"""Keep one row, or the first n, of every key."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join where a null key equals a null key; the keys appear once, from the left."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def deduplicate(df: DataFrame, keys: list[str], order_by: list[Column], keep: str = "last") -> DataFrame:
     """One row per key: the last or the first in the given ascending order.
 

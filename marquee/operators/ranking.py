@@ -2,13 +2,13 @@
 
 A window partitioned by day, week or genre sends the whole group to one task.
 When the input is small that is the cheapest plan and it is the one used. When
-it is not, one day may hold a third of the data, so the group is range-sliced:
+it is not, one day may hold a third of the data, so the group is sliced:
 
-1. ties are collapsed by a map-side combined count per (group, order value);
-2. the distinct values are range-partitioned and written out once, so the
-   slice of a value is settled even if executors are lost later;
-3. each slice is ranked by itself;
-4. slice totals, one row per (group, slice), become the offsets of later slices.
+1. rows are range-partitioned by group, order and a hash, so that neither a
+   group nor a tie has to fit one slice, and written out once: the slice of a
+   row is then settled even if executors are lost later;
+2. each slice is ranked by itself;
+3. slice totals, one row per group and slice, give the shift of every slice.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.keys import join_on_keys
-from marquee.session import materialize, settled, slice_count
+from marquee.session import fits_one_task, materialize
 
 Order = list[tuple[str, str]]
 
+FUNCTIONS = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}
+
 # Rows of one group that a moving window handles in one task.
 CHUNK_ROWS = 1_000_000
 
@@ -35,49 +36,65 @@ def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str)
     For `row_number` the order must tell rows apart, or the numbering of tied
     rows is arbitrary, as in any window.
     """
-    df, small = settled(df, "ranked")
-    if small:
-        window = Window.partitionBy(*by).orderBy(*_sorting(order))
-        function = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}[kind]
-        return df.withColumn(out, function().over(window).cast("bigint"))
-    if kind == "row_number":
-        return _numbered(df, by, order, out)
-    return _ranked(df, by, order, kind, out)
-
-
-def _sliced(df: DataFrame, by: list[str], order: Order) -> DataFrame:
-    ranged = df.repartitionByRange(slice_count(df), *[F.col(c) for c in by], *_sorting(order))
-    return materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
-
-
-def _offsets(sliced: DataFrame, by: list[str], weight: Column) -> DataFrame:
-    """Weight of all earlier slices of the group. A group has at most one row per slice."""
-    totals = sliced.groupBy(*by, "_slice").agg(weight.alias("_weight"))
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_weight").over(earlier), F.lit(0).cast("bigint"))
-    return totals.select(*by, "_slice", before.alias("_before"))
+    if fits_one_task(df):
+        return _plain(df, by, order, kind, out)
+    sliced = _sliced(df, by, order)
+    # The estimate of a plan with joins multiplies their sides; the written size is the true one.
+    if fits_one_task(sliced):
+        return _plain(sliced.drop("_slice"), by, order, kind, out)
+    return _ranked(sliced, by, order, kind, out)
 
 
-def _numbered(df: DataFrame, by: list[str], order: Order, out: str) -> DataFrame:
-    sliced = _sliced(df, by, order)
-    inside = Window.partitionBy(*by, "_slice").orderBy(*_sorting(order))
-    local = sliced.withColumn("_local", F.row_number().over(inside))
-    joined = join_on_keys(local, _offsets(sliced, by, F.count("*")), [*by, "_slice"])
-    return joined.withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before", "_slice")
+def _plain(df: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
+    window = Window.partitionBy(*by).orderBy(*_sorting(order))
+    return df.withColumn(out, FUNCTIONS[kind]().over(window).cast("bigint"))
 
 
-def _ranked(df: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
-    names = [*by, *[name for name, _ in order]]
-    sliced = _sliced(df.groupBy(*names).agg(F.count("*").alias("_rows")), by, order)
-    inside = Window.partitionBy(*by, "_slice").orderBy(*_sorting(order))
+def _sliced(df: DataFrame, by: list[str], order: Order) -> DataFrame:
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*[F.col(c) for c in by], *_sorting(order), F.xxhash64(*df.columns)]
+    return materialize(df.repartitionByRange(slices, *keys).withColumn("_slice", F.spark_partition_id()), "slices")
+
+
+def _ranked(sliced: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
+    # The group as one struct: never null itself, so groups with a null key join by plain equality.
+    grouped = sliced.withColumn("_group", F.struct(*by))
+    inside = Window.partitionBy("_group", "_slice").orderBy(*_sorting(order))
+    local = grouped.withColumn("_local", FUNCTIONS[kind]().over(inside).cast("bigint"))
+    joined = local.join(_shifts(local, order, kind), ["_group", "_slice"])
+    position = F.col("_local") + F.col("_shift")
+    if kind == "rank":
+        # Ties that run on from earlier slices share the rank of their first row.
+        position = F.when(F.col("_continued") & (F.col("_local") == 1), F.col("_start")).otherwise(position)
+    return joined.select(*[c for c in sliced.columns if c != "_slice"], position.alias(out))
+
+
+def _shifts(local: DataFrame, order: Order, kind: str) -> DataFrame:
+    """What to add to the local ranks of each slice. A group has at most one row per slice here."""
+    key = F.struct(*[name for name, _ in order])
+    totals = local.groupBy("_group", "_slice").agg(
+        F.count("*").alias("_rows"),
+        F.max("_local").alias("_top"),
+        F.min_by(key, "_local").alias("_first"),
+        F.max_by(key, "_local").alias("_last"),
+    )
+    in_order = Window.partitionBy("_group").orderBy("_slice")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    linked = totals.withColumn("_continued", F.lag("_last").over(in_order).eqNullSafe(F.col("_first")))
     if kind == "dense_rank":
-        weight, local = F.count("*"), F.row_number().over(inside)
-    else:
-        ahead = F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-        weight, local = F.sum("_rows"), F.coalesce(ahead, F.lit(0)) + 1
-    placed = join_on_keys(sliced.withColumn("_local", local), _offsets(sliced, by, weight), [*by, "_slice"])
-    ranks = placed.select(*names, (F.col("_local") + F.col("_before")).cast("bigint").alias(out))
-    return join_on_keys(df, ranks, names)
+        # A value on both sides of a slice boundary counts once.
+        repeats = F.sum(F.col("_continued").cast("bigint")).over(in_order)
+        shift = F.coalesce(F.sum("_top").over(earlier), zero) - repeats
+        return linked.select("_group", "_slice", shift.alias("_shift"))
+    counted = linked.withColumn("_shift", F.coalesce(F.sum("_rows").over(earlier), zero))
+    if kind == "row_number":
+        return counted.select("_group", "_slice", "_shift")
+    # Rank at which a slice's last value begins, unless that was in an earlier slice.
+    through = F.col("_continued") & F.col("_first").eqNullSafe(F.col("_last"))
+    begins = F.when(~through, F.col("_shift") + F.col("_top"))
+    started = F.last(begins, ignorenulls=True).over(earlier)
+    return counted.select("_group", "_slice", "_shift", "_continued", started.alias("_start"))
 
 
 def moving_rows(
@@ -88,13 +105,15 @@ def moving_rows(
     For groups without a size bound the rows are numbered, cut into chunks of
     equal length, and the last `back` rows of a chunk are lent to the next one.
     """
-    df, small = settled(df, "moving")
-    if small:
+    small = fits_one_task(df)
+    sliced = None if small else _sliced(df, by, order)
+    if small or fits_one_task(sliced):
         frame = Window.partitionBy(*by).orderBy(*_sorting(order)).rowsBetween(-back, Window.currentRow)
-        return df.withColumns({name: measure.over(frame) for name, measure in measures.items()})
+        rows = df if small else sliced.drop("_slice")
+        return rows.withColumns({name: measure.over(frame) for name, measure in measures.items()})
     if back >= chunk_rows:
         raise ValueError("a chunk must be longer than the frame")
-    numbered = _numbered(df, by, order, "_number")
+    numbered = _ranked(sliced, by, order, "row_number", "_number")
     home = F.floor((F.col("_number") - 1) / chunk_rows)
     lent = (F.col("_number") - 1) % chunk_rows >= chunk_rows - back
     chunks = F.when(lent, F.array(home, home + 1)).otherwise(F.array(home))

@@ -72,24 +72,3 @@ def fits_one_task(df: DataFrame) -> bool:
     """True when even a single group holding every row is small."""
     limit = int(df.sparkSession.conf.get(TASK_BYTES_KEY, str(TASK_BYTES)))
     return planned_bytes(df) <= limit
-
-
-def settled(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
-    """The input, and whether it fits one task.
-
-    The estimate of a plan with joins multiplies their sides, so a plan that
-    looks large is written out once: its true size is then known, and later
-    passes over it do not repeat the work behind it.
-    """
-    if fits_one_task(df):
-        return df, True
-    written = materialize(df, label)
-    return written, fits_one_task(written)
-
-
-def slice_count(df: DataFrame) -> int:
-    """Range slices of about a task's worth of rows each."""
-    spark = df.sparkSession
-    limit = max(1, int(spark.conf.get(TASK_BYTES_KEY, str(TASK_BYTES))))
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(configured, planned_bytes(df) // limit), 10 * configured)

@@ -17,8 +17,10 @@ def spark():
 def sliced(spark):
     """Treat every input as too large for one task."""
     spark.conf.set(TASK_BYTES_KEY, "0")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
     yield spark
     spark.conf.unset(TASK_BYTES_KEY)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def day(text: str) -> dt.date:

@@ -34,10 +34,17 @@ def test_sliced_row_numbers(sliced, skewed):
     assert rows(got, "id", "r") == rows(skewed.withColumn("r", F.row_number().over(window).cast("bigint")), "id", "r")
 
 
-def test_no_slice_holds_the_hot_group(sliced, skewed):
-    parts = ranking._sliced(skewed, ["g"], [("v", "desc"), ("id", "asc")])
-    largest = parts.groupBy("g", "_slice").count().agg(F.max("count")).first()[0]
-    assert largest < 2000 / 4
+def test_no_slice_holds_a_hot_group_or_tie(sliced, skewed):
+    parts = ranking._sliced(skewed, ["g"], [("v", "desc")])
+    assert parts.groupBy("g", "_slice").count().agg(F.max("count")).first()[0] < 2 * 6000 / 24
+    assert parts.filter("g = 'hot' and v = 5.0").select("_slice").distinct().count() > 2
+
+
+@pytest.mark.parametrize("kind", ["dense_rank", "rank"])
+def test_one_tie_over_all_slices(sliced, spark, kind):
+    df = spark.range(500).withColumns({"g": F.lit(None).cast("string"), "v": (F.col("id") == 7).cast("int")})
+    got = ranking.group_rank(df, ["g"], [("v", "desc")], kind, "r").groupBy("v", "r").count()
+    assert rows(got, "v", "r", "count") == [(0, 2, 499), (1, 1, 1)]
 
 
 def test_small_input_takes_the_plain_window(spark):
