@@ -216,7 +216,7 @@ def positioned_entries(t: Tables) -> DataFrame:
     "F22 T4",
     """select p_partkey as movie_id, person_id, name, character_name, cast_order, known_for_department, popularity
     from (select p_partkey, unnest([
-        {'person_id': cast(p_size as bigint), 'name': p_name, 'character_name': p_brand, 'cast_order': 0,
+        {'person_id': cast(p_size as bigint), 'name': coalesce(p_name, ''), 'character_name': p_brand, 'cast_order': 0,
          'known_for_department': '', 'popularity': 0e0},
         {'person_id': cast(p_size + 100 as bigint), 'name': p_type, 'character_name': '', 'cast_order': 1,
          'known_for_department': 'Acting', 'popularity': p_retailprice}], max_depth := 2) from part)""",

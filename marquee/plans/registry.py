@@ -48,11 +48,11 @@ def half_up(numerator: str, denominator: str, digits: int) -> str:
 CHART = f"""
 chart as (
   select user_id as movie_id, event_type as media_type, cast(ts as date) as date,
-         cast(sum(cast(round(value * 100) as bigint)) as bigint) as units, count(*) as vote_count
+         cast(sum(cast(round(value * 100) as bigint)) as bigint) as units, count(value) as rated, count(*) as vote_count
   from events group by 1, 2, 3),
 scored as (
-  select *, units / 100e0 as popularity, {half_up("units", "vote_count * 100", 2)} as vote_average,
-         cast((2 * units + vote_count) // (2 * vote_count) as bigint) as score_units
+  select *, units / 100e0 as popularity, {half_up("units", "rated * 100", 2)} as vote_average,
+         case when rated > 0 then cast((2 * units + rated) // (2 * rated) as bigint) end as score_units
   from chart),
 fact as (
   select *, dense_rank() over (partition by date order by units desc) as position from scored)"""

@@ -44,7 +44,7 @@ def _monthly(t: Tables) -> DataFrame:
     f"""with {_FACT}, {WORDS}
     select (select count(*) from part) as total_movies, (select count(*) from genres) as total_genres,
            max(date) as latest_date, count(*) as trending_today,
-           {half_up("sum(score_units)", "count(*) * 100", 1)} as avg_rating
+           {half_up("sum(score_units)", "count(score_units) * 100", 1)} as avg_rating
     from fact join newest on date = day""",
 )
 def dashboard_kpis(t: Tables) -> DataFrame:
@@ -278,7 +278,7 @@ def filmography(t: Tables) -> DataFrame:
 @query(
     "J14",
     f"""with {WORDS} select p_partkey as movie_id, p_name as title,
-    string_agg(genre_id || ':' || name, ',' order by genre_id) as genres
+    coalesce(string_agg(genre_id || ':' || name, ',' order by genre_id), '') as genres
     from part left join bridge on movie_id = p_partkey left join genres using (genre_id) group by 1, 2""",
 )
 def movies_with_genres(t: Tables) -> DataFrame:

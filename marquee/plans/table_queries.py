@@ -62,7 +62,7 @@ def flagged_scores(t: Tables) -> DataFrame:
 @query(
     "Q2",
     """select count(*) as records, count(*) filter (event_type = 'error') as missing_id,
-    0::bigint as missing__source, count(*) filter (value > 100) as missing__extracted_at from events""",
+    0::bigint as missing__source, count(*) filter (value is null or value > 100) as missing__extracted_at from events""",
 )
 def missing_fields(t: Tables) -> DataFrame:
     records = t.events.select(
@@ -380,7 +380,7 @@ def gold_exported(t: Tables) -> DataFrame:
     return export.export_projection(layers.read_layer(t.spark, path), "gold_daily_trends")
 
 
-@query("S14", "select p_partkey, array_to_string(string_split(p_name, ' '), ', ') as genres from part")
+@query("S14", "select p_partkey, coalesce(array_to_string(string_split(p_name, ' '), ', '), '') as genres from part")
 def arrays_as_text(t: Tables) -> DataFrame:
     return export.arrays_as_text(t.part.select("p_partkey", F.split("p_name", " ").alias("genres")))
 

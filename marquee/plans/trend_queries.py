@@ -124,7 +124,7 @@ weekly as (
          cast(sum(units) as double) / (count(units) * 100e0) as avg_popularity, max(popularity) as peak_popularity,
          cast(sum(score_units) as double) / (count(score_units) * 100e0) as avg_vote_average,
          cast(sum(vote_count) as bigint) as total_vote_count, count(*) as days_tracked,
-         array_to_string(any_value(genres), ', ') as genres
+         coalesce(array_to_string(any_value(genres), ', '), '') as genres
   from content group by 1, 2, 3, 4)"""
 
 
@@ -296,7 +296,7 @@ def title_returns(t: Tables) -> DataFrame:
 
 _ROI = f"""{MONEY},
 priced as (
-  select movie_id as id, p_name as title, unnest(string_split(p_name, ' ')) as genre, release_date, budget, revenue,
+  select movie_id as id, p_name as title, unnest(coalesce(string_split(p_name, ' '), [null])) as genre, release_date, budget, revenue,
          {half_up("revenue - budget", "budget", 4)} as roi,
          {half_up("(revenue - budget) * 100", "revenue", 2)} as profit_margin_pct
   from money join part on p_partkey = movie_id where budget > 0 and revenue is not null),
@@ -326,7 +326,7 @@ def roi_analysis(t: Tables) -> DataFrame:
     f"""with {CONTENT}, {MONEY}, seen as (
       select id, max(extraction_date) as extraction_date from content group by 1),
     priced as (
-      select id, extraction_date, unnest(string_split(p_name, ' ')) as genre,
+      select id, extraction_date, unnest(coalesce(string_split(p_name, ' '), [null])) as genre,
              {half_up("revenue - budget", "budget", 4)} as roi
       from seen join part on p_partkey = id join money on movie_id = id where budget > 0)
     select *, rank() over (partition by genre order by roi desc) as roi_genre_rank from priced""",
