@@ -6,11 +6,12 @@ of days kept. Windows over a day are not bounded and go through `group_rank`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marquee.functions.calendar import epoch_day
 from marquee.functions.exact import fixed, mean
+from marquee.operators.keys import top_rows
 from marquee.operators.ranking import group_rank
 
 TITLE = ["media_type", "id"]
@@ -52,6 +53,45 @@ def daily_trends(df: DataFrame, day: str = "extraction_date") -> DataFrame:
     return day_over_day(daily_positions(df, day), TITLE, day)
 
 
+def title_state(trended: DataFrame, title: list[str] = TITLE, day: str = "extraction_date") -> DataFrame:
+    """Each title's last position, popularity and days on the chart.
+
+    The kept columns are numbers, so this is one hash aggregation with a partial
+    pass, however long the history.
+    """
+    return trended.groupBy(*title).agg(
+        F.max_by("position", day).alias("_position"),
+        F.max_by("popularity", day).alias("_popularity"),
+        F.max_by("days_on_chart", day).alias("_days"),
+    )
+
+
+def extend_daily_trends(
+    trended: DataFrame, fresh: DataFrame, title: list[str] = TITLE, day: str = "extraction_date"
+) -> DataFrame:
+    """Trends of days that follow the ones already computed, without recomputing those.
+
+    Equal to the same days of `daily_trends` over all rows: positions look at
+    their own day only, and what a title's history contributes is its last row.
+    """
+    moved = day_over_day(daily_positions(fresh, day), title, day)
+    joined = moved.join(title_state(trended, title, day), title, "left")
+    # A title's first fresh row follows its last known one, a later row the fresh row before it.
+    opening = F.col("is_new_entry")
+    position = F.when(opening, F.col("_position")).otherwise(F.col("prev_position"))
+    popularity = F.when(opening, F.col("_popularity")).otherwise(F.col("prev_popularity"))
+    return joined.withColumns(
+        {
+            "prev_position": position,
+            "prev_popularity": popularity,
+            "days_on_chart": F.col("days_on_chart") + F.coalesce("_days", F.lit(0)),
+            "position_change": position - F.col("position"),
+            "popularity_delta": F.col("popularity") - popularity,
+            "is_new_entry": position.isNull(),
+        }
+    ).drop("_position", "_popularity", "_days")
+
+
 def position_changes(df: DataFrame, title: list[str], day: str = "date") -> DataFrame:
     """Change against the title's previous row, 0 where there is none."""
     previous = F.lag("position").over(_history(title, day))
@@ -66,6 +106,20 @@ def changes_between(current: DataFrame, previous: DataFrame, title: list[str]) -
     return current.join(before, title, "left").withColumn("position_change", moved).drop("prev_position")
 
 
+def frame_context(df: DataFrame, since: Column, title: list[str] = TITLE, day: str = "extraction_date") -> DataFrame:
+    """The rows that frames of days from `since` on can reach: 29 days, and 6 rows per title, back."""
+    reach = F.date_sub(since, 29)
+    older = top_rows(df.filter(F.col(day) < reach), title, [F.col(day).desc()], 6)
+    return df.filter(F.col(day) >= reach).unionByName(older)
+
+
+def rolling_averages_since(
+    df: DataFrame, since: Column, title: list[str] = TITLE, day: str = "extraction_date"
+) -> DataFrame:
+    """Rolling averages of the days from `since` on only."""
+    return rolling_averages(frame_context(df, since, title, day), title, day).filter(F.col(day) >= since)
+
+
 def rolling_averages(df: DataFrame, title: list[str] = TITLE, day: str = "extraction_date") -> DataFrame:
     """7-row popularity and vote count, and 30-calendar-day vote average.
 

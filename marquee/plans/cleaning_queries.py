@@ -124,8 +124,9 @@ def latest_event_per_day(t: Tables) -> DataFrame:
 )
 def first_sale_per_supplier(t: Tables) -> DataFrame:
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
-    first = deduplicate(t.lineitem, ["l_partkey", "l_suppkey"], [F.col(c) for c in order], keep="first")
-    return first.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate")
+    rows = t.lineitem.select("l_partkey", "l_suppkey", *order)
+    first = deduplicate(rows, ["l_partkey", "l_suppkey"], [F.col(c) for c in order], keep="first")
+    return first.drop("l_extendedprice")
 
 
 @query(

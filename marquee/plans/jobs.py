@@ -13,6 +13,7 @@ from marquee.contracts import (
     BACKDROP_SIZE,
     EXPORTS,
     FEEDS,
+    GOLD_PARTITIONS,
     MOVIE,
     POSTER_SIZE,
     PROFILE_SIZE,
@@ -23,6 +24,7 @@ from marquee.functions.labels import image_url
 from marquee.functions.lenient import blank_to_null, first_text, lenient_date, number_or_zero
 from marquee.operators import clean, finance, merge, quality, rollups, serving, trends
 from marquee.operators.keys import deduplicate
+from marquee.session import materialize
 from marquee.sources import export, jdbc, landing, layers
 from marquee.sources.warehouse import Warehouse
 
@@ -87,17 +89,47 @@ def gold_tables(content: DataFrame, movies: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def silver_to_gold(spark: SparkSession, base: str) -> list[dict]:
+def silver_to_gold(spark: SparkSession, base: str, since: dt.date | None = None) -> list[dict]:
+    """Build the marts, as a whole or, for a new or re-sent day, from that day on.
+
+    With `since`, daily marts are computed for the days from it on, weekly and
+    monthly ones for the weeks and months those days fall in, and only their
+    partitions are replaced. ROI compares all titles and is always whole.
+    """
     movies = layers.read_layer(spark, f"{base}/silver/trending_movies")
     shows = layers.read_layer(spark, f"{base}/silver/trending_tv")
-    tables = gold_tables(clean.unify(movies, shows), clean.align_movie(movies))
+    content = clean.unify(movies, shows)
+    tables = gold_tables(content, clean.align_movie(movies))
+    if since is not None:
+        tables |= gold_since(content, layers.read_layer(spark, f"{base}/gold/gold_daily_trends"), since)
 
     def build(name: str) -> dict:
-        return {"rows_written": layers.overwrite_gold(tables[name], f"{base}/gold/{name}", name)}
+        partial = since is not None and GOLD_PARTITIONS[name]
+        if not partial:
+            return {"rows_written": layers.overwrite_gold(tables[name], f"{base}/gold/{name}", name)}
+        # The daily mart is read while its new days are computed: settle them before they replace the old ones.
+        fresh = materialize(tables[name], name)
+        path, partitions = f"{base}/gold/{name}", GOLD_PARTITIONS[name]
+        return {"rows_written": layers.write_counted(fresh, path, "overwrite", partitions)}
 
     return [_guarded(name, lambda name=name: build(name)) for name in tables]
 
 
+def gold_since(content: DataFrame, trended: DataFrame, since: dt.date) -> dict[str, DataFrame]:
+    """The partitioned marts from a day, and from its week and month, on."""
+    first, day = F.lit(str(since)).cast("date"), F.col("extraction_date")
+    monday = F.lit(str(since - dt.timedelta(days=since.weekday()))).cast("date")
+    before = trended.filter(day < first)
+    return {
+        "gold_daily_trends": trends.extend_daily_trends(before, content.filter(day >= first)),
+        "gold_weekly_rankings": rollups.weekly_rankings(content.filter(day >= monday)),
+        "gold_monthly_genre_stats": rollups.monthly_genre_stats(
+            content.filter(day >= F.lit(str(since.replace(day=1))).cast("date"))
+        ),
+        "gold_rolling_averages": trends.rolling_averages_since(content, first),
+    }
+
+
 def export_marts(spark: SparkSession, base: str, target: jdbc.JdbcTarget, schema: str = "public") -> list[dict]:
     """Stage, upsert and read back each mart; reports carry the check's result."""
 

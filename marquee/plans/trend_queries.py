@@ -52,6 +52,15 @@ def daily_trends(t: Tables) -> DataFrame:
     return trends.day_over_day(model.fact(t), TITLE, "date")
 
 
+@query("W4 W5 W6 W7", f"with {_TRENDS} select * from moved")
+def daily_trends_extended(t: Tables) -> DataFrame:
+    """The first 20 days as already computed, the rest added from each title's last row."""
+    chart, first = model.chart(t), F.lit("2024-01-21").cast("date")
+    known = trends.day_over_day(trends.daily_positions(chart.filter(F.col("date") < first), "date"), TITLE, "date")
+    fresh = trends.extend_daily_trends(known, chart.filter(F.col("date") >= first), TITLE, "date")
+    return known.unionByName(fresh)
+
+
 @query(
     "W5 P11 T1",
     f"""with {_TRENDS} select movie_id, media_type, date, popularity, position, prev_position, position_change,
@@ -97,9 +106,7 @@ def changes_since_yesterday(t: Tables) -> DataFrame:
     return trends.changes_between(current, previous, ["movie_id", "media_type"])
 
 
-@query(
-    "W15 W16 W17 F9",
-    f"""with {CHART}, framed as (
+_ROLLING = f"""{CHART}, framed as (
       select movie_id, media_type, date, popularity, vote_average, vote_count,
              sum(units) over week as s, count(units) over week as rolling_7d_data_points,
              sum(vote_count) over week as v, count(vote_count) over week as vn,
@@ -107,17 +114,26 @@ def changes_since_yesterday(t: Tables) -> DataFrame:
       from scored
       window week as (partition by media_type, movie_id order by date rows between 6 preceding and current row),
              month as (partition by media_type, movie_id order by datediff('day', date '1970-01-01', date)
-                       range between 29 preceding and current row))
+                       range between 29 preceding and current row)),
+    rolled as (
     select movie_id, media_type, date, popularity, vote_average, vote_count,
            rolling_7d_data_points, rolling_30d_data_points,
            {half_up("s", "rolling_7d_data_points * 100", 4)} as rolling_7d_avg_popularity,
            {half_up("m", "rolling_30d_data_points * 100", 4)} as rolling_30d_avg_vote_average,
-           {half_up("v", "vn", 2)} as rolling_7d_avg_vote_count from framed""",
-)
+           {half_up("v", "vn", 2)} as rolling_7d_avg_vote_count from framed)"""
+
+
+@query("W15 W16 W17 F9", f"with {_ROLLING} select * from rolled")
 def rolling_averages(t: Tables) -> DataFrame:
     return trends.rolling_averages(model.chart(t), TITLE, "date")
 
 
+@query("W15 W16 W17", f"with {_ROLLING} select * from rolled where date >= date '2024-01-21'")
+def rolling_averages_since(t: Tables) -> DataFrame:
+    """Only the later days, from the rows their frames can reach."""
+    return trends.rolling_averages_since(model.chart(t), F.lit("2024-01-21").cast("date"), TITLE, "date")
+
+
 _WEEKLY_CONTENT = f"""{CONTENT},
 weekly as (
   select id, title, media_type, strftime(extraction_date, '%G-W%V') as year_week,

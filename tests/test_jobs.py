@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import day, rows
+from marquee.contracts import GOLD_PARTITIONS
 from marquee.plans import jobs
 from marquee.sources import jdbc, layers
 from marquee.sources.warehouse import Warehouse
@@ -71,6 +72,16 @@ def test_gold_tables(layered):
     assert set(rows(weekly, "year_week")) == {("2026-W26",), ("2026-W27",)}
 
 
+def test_gold_from_a_day_on_equals_the_whole(layered):
+    spark, base, *_ = layered
+    names = [n for n, partitions in GOLD_PARTITIONS.items() if partitions]
+    before = {n: rows(layers.read_layer(spark, f"{base}/gold/{n}").drop("_ingested_at", "_batch_id")) for n in names}
+    reports = jobs.silver_to_gold(spark, base, day("2026-06-29"))
+    assert all(r["status"] == "SUCCESS" for r in reports), reports
+    for n in names:
+        assert rows(layers.read_layer(spark, f"{base}/gold/{n}").drop("_ingested_at", "_batch_id")) == before[n], n
+
+
 def test_a_failed_feed_does_not_stop_the_others(spark, tmp_path):
     land(tmp_path, "trending_tv", "2026-06-29", [show(1, 1.0)])
     land(tmp_path, "trending_people", "2026-06-29", [])

@@ -119,6 +119,33 @@ def test_rolling_averages_by_rows_and_by_days(spark):
     ]
 
 
+def long_history(spark):
+    """Titles on some days only, over four months."""
+    days = spark.range(120).withColumn("extraction_date", F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")))
+    wide = days.select("extraction_date", F.explode(F.sequence(F.lit(1), F.lit(9)).cast("array<bigint>")).alias("id"))
+    seen = wide.filter(F.abs(F.hash("id", "extraction_date")) % (F.col("id") * 3) == 0)
+    return seen.withColumns(
+        {
+            "media_type": F.lit("movie"),
+            "popularity": F.abs(F.hash("extraction_date", "id")) % 50 / 10,
+            "vote_average": F.when(F.hash("id", "extraction_date") % 5 != 0, F.abs(F.hash("id", "extraction_date")) % 10 / 1.0),
+            "vote_count": (F.abs(F.hash("id")) % 7).cast("bigint"),
+        }
+    )
+
+
+@pytest.mark.parametrize("since", ["2026-01-01", "2026-02-03", "2026-04-30"])
+def test_later_days_alone_equal_the_whole(spark, since):
+    df, first = long_history(spark), F.lit(since).cast("date")
+    day = F.col("extraction_date")
+    whole = trends.daily_trends(df)
+    columns = whole.columns
+    extended = trends.extend_daily_trends(whole.filter(day < first), df.filter(day >= first))
+    assert rows(extended, *columns) == rows(whole.filter(day >= first), *columns)
+    rolled = trends.rolling_averages(df)
+    assert rows(trends.rolling_averages_since(df, first), *rolled.columns) == rows(rolled.filter(day >= first))
+
+
 # --- roll-ups ---
 
 FACT = "movie_id bigint, media_type string, date date, position int, popularity double, vote_average double"
