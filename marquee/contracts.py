@@ -198,6 +198,17 @@ STAR_KEYS = {
     "agg_monthly_genres": ["month", "genre_id"],
 }
 
+# Order in which a table is listed; ids settle ties.
+LISTING_ORDER = {
+    "dim_genres": [("name", "asc"), ("genre_id", "asc")],
+    "dim_movies": [("updated_at", "desc"), ("movie_id", "asc")],
+    "dim_people": [("popularity", "desc"), ("person_id", "asc")],
+    "bridge_movie_cast": [("cast_order", "asc"), ("movie_id", "asc"), ("person_id", "asc")],
+    "fact_daily_trends": [("date", "asc"), ("position", "asc"), ("media_type", "asc"), ("movie_id", "asc")],
+    "agg_weekly_summary": [("week_start", "desc"), ("avg_position", "asc"), ("media_type", "asc"), ("movie_id", "asc")],
+    "agg_monthly_genres": [("month", "desc"), ("trending_count", "desc"), ("genre_id", "asc")],
+}
+
 # (table, column, parent table, parent column, on delete)
 FOREIGN_KEYS = [
     ("bridge_movie_genres", "movie_id", "dim_movies", "movie_id", "cascade"),

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.contracts import ENRICH_TITLES, PAGE_ROWS, SHOWN_CAST
+from marquee.contracts import ENRICH_TITLES, LISTING_ORDER, PAGE_ROWS, SHOWN_CAST
 from marquee.functions.exact import percent
 from marquee.functions.labels import bubble_size, short_title
 from marquee.operators.keys import top_rows
@@ -76,6 +76,11 @@ def monthly_api(monthly: DataFrame, genres: DataFrame, month: str | None = None)
     return named.orderBy(F.col("trending_count").desc(), "month", "genre_id")
 
 
+def listing(df: DataFrame, table: str) -> DataFrame:
+    """A star-schema table in the order it is shown in."""
+    return df.orderBy(*[F.col(c).desc() if way == "desc" else F.col(c).asc() for c, way in LISTING_ORDER[table]])
+
+
 def page(ordered: DataFrame, number: int, rows: int = PAGE_ROWS) -> DataFrame:
     """A page of an ordered result, numbered from 1."""
     return ordered.offset((number - 1) * rows).limit(rows)

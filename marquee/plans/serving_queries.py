@@ -374,3 +374,27 @@ def facts_of_genre(t: Tables) -> DataFrame:
     letters = [ord(c) for c in "giz"]
     rows = model.chart(t).select("movie_id", "media_type", "date", "popularity")
     return serving.genre_movies(rows, model.bridge(t), letters[0] * 1000000 + letters[1] * 1000 + letters[2])
+
+
+@query("T2", f"with {WORDS} select genre_id, name from genres order by name")
+def genre_list(t: Tables) -> DataFrame:
+    return serving.listing(model.genres(t), "dim_genres")
+
+
+@query(
+    "T2 T5",
+    """select s_suppkey as person_id, s_name as name, s_acctbal as popularity from supplier
+    order by s_acctbal desc, s_suppkey limit 20 offset 20""",
+)
+def people_second_page(t: Tables) -> DataFrame:
+    return serving.page(serving.listing(model.people(t), "dim_people"), 2)
+
+
+@query(
+    "T2",
+    f"""with {MONTHLY} select month, genre_id, trending_count, avg_popularity from monthly_genres
+    order by month desc, trending_count desc, genre_id limit 20""",
+)
+def monthly_list(t: Tables) -> DataFrame:
+    rows = _monthly(t).select("month", "genre_id", "trending_count", "avg_popularity")
+    return serving.page(serving.listing(rows, "agg_monthly_genres"), 1)

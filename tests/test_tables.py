@@ -271,3 +271,15 @@ def test_kpis_without_scores(spark):
 def test_paging(spark):
     ordered = spark.range(45).orderBy("id")
     assert [serving.page(ordered, n).count() for n in (1, 3, 4)] == [20, 5, 0]
+
+
+def test_listing_orders(spark):
+    weekly = spark.createDataFrame(
+        [(1, "movie", day("2026-01-05"), 3.0), (2, "movie", day("2026-01-12"), 9.0), (3, "tv", day("2026-01-12"), 1.0)],
+        "movie_id bigint, media_type string, week_start date, avg_position double",
+    )
+    assert [r["movie_id"] for r in serving.listing(weekly, "agg_weekly_summary").collect()] == [3, 2, 1]
+    films = spark.createDataFrame([(1, None), (2, day("2020-01-01")), (3, day("2021-01-01"))], "movie_id bigint, release_date date")
+    cast = films.select("movie_id", F.lit(7).alias("person_id"), F.lit("t").alias("title"))
+    listed = serving.filmography(cast.drop("title"), films.withColumn("title", F.lit("t")))
+    assert [r["movie_id"] for r in listed.collect()] == [3, 2, 1]
