@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 
 def lenient_number(value: Column | str, kind: str = "double") -> Column:
+    """Number from text; a whole number may be written as '10.0' or '1e3'."""
     value = F.col(value) if isinstance(value, str) else value
-    parsed = F.trim(value.cast("string")).try_cast(kind)
-    if kind == "double":
-        parsed = F.nanvl(parsed, F.lit(None).cast("double"))
-    return parsed
+    text = F.trim(value.cast("string"))
+    real = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    return real if kind == "double" else F.coalesce(text.try_cast(kind), real.try_cast(kind))
 
 
 def number_or_zero(value: Column | str, kind: str = "double") -> Column:

@@ -13,7 +13,13 @@ from marquee.functions.lenient import lenient_date, lenient_number, number_or_ze
 from marquee.operators.finance import roi_pct
 from marquee.operators.keys import deduplicate
 
-NUMBERS = {"popularity": "double", "vote_average": "double", "vote_count": "int"}
+NUMBERS = {
+    "popularity": "double",
+    "vote_average": "double",
+    "vote_count": "int",
+    "budget": "double",
+    "revenue": "double",
+}
 DAYS = {MOVIE: "release_date", TV: "first_air_date"}
 
 

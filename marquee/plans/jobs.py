@@ -31,16 +31,20 @@ from marquee.sources.warehouse import Warehouse
 SOURCE = "trending_api"
 
 
-def _guarded(table: str, step: Callable[[], dict]) -> dict:
-    """A table's failure is reported and the next one still runs."""
+def _guarded(table: str, step: Callable[[], dict], strict: bool = False) -> dict:
+    """A table's failure is reported and the next one still runs, unless the caller wants it raised."""
     try:
         return {"table": table, "status": "SUCCESS", **step()}
     except Exception as problem:  # noqa: BLE001
+        if strict:
+            raise
         return {"table": table, "status": "FAILED", "error": str(problem)}
 
 
-def raw_to_bronze(spark: SparkSession, base: str, day: dt.date, json_array: bool = False) -> list[dict]:
-    """Ingest a day of every feed; an empty feed is skipped."""
+def raw_to_bronze(
+    spark: SparkSession, base: str, day: dt.date, json_array: bool = False, strict: bool = False
+) -> list[dict]:
+    """Ingest a day of every feed; an empty feed is skipped. `strict` raises the first failure."""
     batch_id = str(uuid.uuid4())
 
     def ingest(feed: str) -> dict:
@@ -55,7 +59,7 @@ def raw_to_bronze(spark: SparkSession, base: str, day: dt.date, json_array: bool
             )
         }
 
-    return [_guarded(feed, lambda feed=feed: ingest(feed)) for feed in FEEDS]
+    return [_guarded(feed, lambda feed=feed: ingest(feed), strict) for feed in FEEDS]
 
 
 def bronze_to_silver(spark: SparkSession, base: str, days: list[dt.date]) -> list[dict]:

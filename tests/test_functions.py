@@ -73,6 +73,10 @@ def test_lenient_parsing(spark):
     texts = ["12.5", " 7 ", "n/a", "", None, "NaN"]
     assert column(spark, texts, "string", lenient.lenient_number("v")) == [12.5, 7.0, None, None, None, None]
     assert column(spark, texts, "string", lenient.number_or_zero("v")) == [12.5, 7.0, 0.0, 0.0, 0.0, 0.0]
+    whole = ["10", "10.0", "1e3", "-7.9", "9007199254740993", "99999999999999999999", "x"]
+    assert column(spark, whole, "string", lenient.lenient_number("v", "bigint")) == [
+        10, 10, 1000, -7, 9007199254740993, None, None,
+    ]
     dates = ["2010-07-16", "2010-13-16", "", None, "soon"]
     assert column(spark, dates, "string", lenient.lenient_date("v")) == [dt.date(2010, 7, 16), None, None, None, None]
     assert column(spark, ["", "a"], "string", lenient.blank_to_null("v")) == [None, "a"]

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import day, rows
@@ -35,7 +36,7 @@ def show(key, popularity):
 def layered(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     for text, lift in (("2026-06-28", 0), ("2026-06-29", 20)):
-        land(root, "trending_movies", text, [movie(1, 50 + lift), movie(1, 50 + lift), movie(2, 60, budget="10", revenue="30")])
+        land(root, "trending_movies", text, [movie(1, 50 + lift), movie(1, 50 + lift), movie(2, 60, budget="10", revenue=30.0), movie(3, 1, budget="n/a", revenue="1")])
         land(root, "trending_tv", text, [show(1, 40)])
         land(root, "trending_people", text, [{"id": 7, "name": "P", "popularity": "x", "known_for_department": "Acting"}])
     base, days = str(root), [day("2026-06-28"), day("2026-06-29")]
@@ -47,16 +48,16 @@ def layered(spark, tmp_path_factory):
 
 def test_layer_reports(layered):
     _, _, ingested, refined, built = layered
-    assert [[r["rows_written"] for r in run] for run in ingested] == [[3, 1, 1], [3, 1, 1]]
+    assert [[r["rows_written"] for r in run] for run in ingested] == [[4, 1, 1], [4, 1, 1]]
     assert all(r["status"] == "SUCCESS" for run in (*ingested, *refined, built) for r in run)
-    assert [r["rows_written"] for r in refined[1]] == [4, 2, 2]
+    assert [r["rows_written"] for r in refined[1]] == [6, 2, 2]
 
 
 def test_silver_is_one_row_per_title_and_day(layered):
     spark, base, *_ = layered
     movies = layers.read_layer(spark, f"{base}/silver/trending_movies")
     assert rows(movies, "id", "extraction_date", "genres")[0] == (1, day("2026-06-28"), ["Action"])
-    assert movies.count() == 4 and "_corrupt_record" not in movies.columns
+    assert movies.count() == 6 and "_corrupt_record" not in movies.columns
     people = layers.read_layer(spark, f"{base}/silver/trending_people")
     assert {r[0] for r in rows(people, "popularity")} == {0.0}
 
@@ -87,6 +88,8 @@ def test_a_failed_feed_does_not_stop_the_others(spark, tmp_path):
     land(tmp_path, "trending_people", "2026-06-29", [])
     reports = jobs.raw_to_bronze(spark, str(tmp_path), day("2026-06-29"))
     assert [r["status"] for r in reports] == ["FAILED", "SUCCESS", "EMPTY"]
+    with pytest.raises(AnalysisException):
+        jobs.raw_to_bronze(spark, str(tmp_path), day("2026-06-29"), strict=True)
     summary = layers.run_summary(spark, reports)
     assert rows(summary, "table", "rows_written") == [
         ("trending_movies", None), ("trending_people", 0), ("trending_tv", 1),
