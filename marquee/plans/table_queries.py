@@ -182,13 +182,13 @@ def upserted_genres(t: Tables) -> DataFrame:
 @query(
     "M4",
     """select s_suppkey as person_id, case when s_acctbal > 5000 then upper(s_name) else s_name end as name,
-    'Acting' as known_for_department, case when s_acctbal > 5000 then s_acctbal * 2 else s_acctbal end as popularity
-    from supplier where s_acctbal > 1000""",
+    case when s_acctbal > 8000 then 'Directing' else 'Acting' end as known_for_department,
+    case when s_acctbal > 5000 then s_acctbal * 2 else s_acctbal end as popularity from supplier""",
 )
 def upserted_people(t: Tables) -> DataFrame:
-    """An update leaves the department; people with little popularity are in neither side."""
+    """An update leaves the department, an insert brings its own; the most popular people are new."""
     people = model.people(t).withColumn("known_for_department", F.lit("Acting"))
-    known = people.filter(F.col("popularity") > 1000)
+    known = people.filter(F.col("popularity") <= 8000)
     sent = people.filter(F.col("popularity") > 5000).withColumns(
         {
             "name": F.upper("name"),
@@ -275,9 +275,8 @@ _RAW_COLUMNS = """movie_id as id, p_name as title, popularity, vote_average, cas
 
 
 def _landed(t: Tables, base: str) -> None:
-    """One media type of the chart as landed JSON, one folder per day."""
-    rows = model.content(t).filter(F.col("media_type") == "click")
-    raw = rows.select(
+    """The whole chart as landed JSON, one folder per day."""
+    raw = model.content(t).select(
         "id",
         "title",
         F.col("popularity").cast("string").alias("popularity"),
@@ -290,14 +289,16 @@ def _landed(t: Tables, base: str) -> None:
     landing.write_landing(raw, base, _FEED)
 
 
-def _clicks(columns: str) -> str:
-    return f"with {CHART} select {columns} from scored left join part on p_partkey = movie_id where media_type = 'click'"
+def _charted(columns: str, where: str = "true") -> str:
+    return f"with {CHART} select {columns} from scored left join part on p_partkey = movie_id where {where}"
 
 
 @query(
     "S1 S2 S8",
-    _clicks(f"{_RAW_COLUMNS}, 'trending_movies' as _media_type, 'feed' as _source, 'b1' as _batch_id")
-    + " and date = date '2024-01-15'",
+    _charted(
+        f"{_RAW_COLUMNS}, 'trending_movies' as _media_type, 'feed' as _source, 'b1' as _batch_id",
+        "date = date '2024-01-15'",
+    ),
 )
 def landed_day(t: Tables) -> DataFrame:
     """JSON of one day read under the fixed schema, with lineage."""
@@ -319,7 +320,7 @@ def landed_day(t: Tables) -> DataFrame:
 
 @query(
     "S1 S2 S4 S8",
-    _clicks("""movie_id as id, p_name as title, date as _extraction_date, cast(year(date) as integer) as year,
+    _charted("""movie_id as id, p_name as title, date as _extraction_date, cast(year(date) as integer) as year,
     cast(month(date) as integer) as month, 'feed' as _source"""),
 )
 def bronze_from_stream(t: Tables) -> DataFrame:
@@ -334,13 +335,12 @@ def bronze_from_stream(t: Tables) -> DataFrame:
 
 @query(
     "S4 S5",
-    _clicks("movie_id as id, popularity, cast(year(date) as integer) as year, cast(month(date) as integer) as month"),
+    _charted("movie_id as id, popularity, cast(year(date) as integer) as year, cast(month(date) as integer) as month"),
 )
 def bronze_appended(t: Tables) -> DataFrame:
     """Two appends, one per half of the month, into month partitions."""
     path = fresh_path(t.spark, "bronze")
-    rows = model.content(t).filter(F.col("media_type") == "click")
-    rows = rows.select("id", "popularity", F.col("extraction_date").alias("_extraction_date"))
+    rows = model.content(t).select("id", "popularity", F.col("extraction_date").alias("_extraction_date"))
     half = F.lit("2024-01-15").cast("date")
     layers.append_bronze(rows.filter(F.col("_extraction_date") < half), path)
     layers.append_bronze(rows.filter(F.col("_extraction_date") >= half), path)
@@ -427,7 +427,7 @@ def run_summary(t: Tables) -> DataFrame:
     "S3 S16 Q1 Q7",
     f"""with {CHART}, reports(name, rows_written, status) as (
       select 'trending_movies', count(*), 'SUCCESS' from chart
-      where media_type = 'click' and date = date '2024-01-15'
+      where date = date '2024-01-15'
       union all select 'trending_tv', null, 'FAILED' union all select 'trending_people', 0, 'EMPTY')
     select name as "table", rows_written, status, 'partial_failure' as outcome from reports""",
 )
