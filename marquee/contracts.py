@@ -79,6 +79,7 @@ CREDITS_SCHEMA = (
 )
 RESPONSE_SCHEMA = "results array<struct<id: bigint, title: string, name: string, popularity: double>>"
 
+# Columns of the unified content, and bronze columns silver does not keep.
 UNIFIED_COLUMNS = [
     "id",
     "title",
@@ -106,7 +107,7 @@ class Export:
     columns: tuple[str, ...]
 
 
-# The keys carry media_type wherever a movie and a show may share an id.
+# Names of the exported tables and columns. The keys carry media_type wherever a movie and a show may share an id.
 EXPORTS = {
     "gold_daily_trends": Export(
         "daily_trends",
@@ -159,6 +160,7 @@ GOLD_PARTITIONS = {
     "gold_rolling_averages": ["extraction_date"],
 }
 
+# Names and types of the star schema.
 STAR_SCHEMA = {
     "dim_genres": "genre_id int, name string",
     "dim_movies": (

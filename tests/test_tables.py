@@ -2,6 +2,7 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -243,6 +244,37 @@ def test_jdbc_write_modes():
     assert frame.write.seen["mode"] == "append" and frame.write.seen["properties"]["batchsize"] == "5000"
 
 
+class _Session:
+    """Stands in for a session whose reader and gateway only record calls."""
+
+    def __init__(self):
+        self.read = _Calls()
+        self.log = []
+        connection = SimpleNamespace(
+            createStatement=lambda: SimpleNamespace(
+                executeUpdate=lambda text: self.log.append(text) or 3, close=lambda: self.log.append("closed")
+            ),
+            close=lambda: self.log.append("disconnected"),
+        )
+        manager = SimpleNamespace(getConnection=lambda url, user, password: connection)
+        self._jvm = SimpleNamespace(java=SimpleNamespace(sql=SimpleNamespace(DriverManager=manager)))
+
+
+def test_jdbc_reads_in_ranges():
+    target, session = jdbc.JdbcTarget("jdbc:x", "u", "p", connections=8), _Session()
+    jdbc.read_table(session, target, "t", "id", (1, 100))
+    seen = session.read.seen
+    assert (seen["column"], seen["lowerBound"], seen["upperBound"], seen["numPartitions"]) == ("id", 1, 100, 8)
+    jdbc.read_table(session, target, "t")
+    assert "column" not in session.read.seen
+
+
+def test_jdbc_statements_close_what_they_open():
+    session = _Session()
+    assert jdbc.execute(session, jdbc.JdbcTarget("jdbc:x", "u", "p"), "DROP TABLE IF EXISTS s") == 3
+    assert session.log == ["DROP TABLE IF EXISTS s", "closed", "disconnected"]
+
+
 def test_scratch_dir_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or scratch_dir(spark) == named.rstrip("/")
