@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, licences
+from marquee.llm import bpe, licences, pii, quality
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,13 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan_licences(read_table(spark, folder, "documents"))
+
+
+@_query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+@_query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, folder, "documents")).drop("found")
