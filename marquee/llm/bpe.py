@@ -1,10 +1,8 @@
 """Byte-level BPE encoding and decoding with a compiled lexicon of frequent words.
 
-One pass counts the words of all texts. Each task keeps a summary of bounded
-size in the way of Misra and Gries, which cannot lose a word more frequent than
-the task's words divided by the size. The most frequent words are encoded once
-on the driver and compiled into a minimal acyclic transducer, which every
-executor fetches and memory-maps. The second pass encodes whole texts: a word
+One pass counts the stretches between spaces in all texts. The words of the most
+frequent ones are encoded once on the driver and compiled into a minimal acyclic
+transducer, which every executor fetches and memory-maps. The second pass encodes whole texts: a word
 comes from the transducer, and a word that is not in it is merged by the
 vocabulary's ranks. What the lexicon holds changes the speed, never the ids.
 """
@@ -15,22 +13,19 @@ import hashlib
 import heapq
 import json
 import struct
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import per_text, publish, small_batches, texts
+from marquee.llm.common import per_text, publish, texts
 from marquee.llm.transducer import Transducer, compile_words
 
 LEXICON_WORDS = 65_536
-# Words a counting task remembers, and words whose ids an encoding worker remembers.
-SUMMARY_WORDS = 200_000
+# Stretches and words whose ids an encoding worker remembers.
 MEMO_WORDS = 300_000
 
 LONG_WORD = 128
@@ -63,7 +58,7 @@ class Vocabulary:
             content = json.load(file)
         letters, model = _byte_letters(), content["model"]
         raw = {token: bytes(letters[c] for c in token) for token in model["vocab"]}
-        self.bytes_of = {i: raw[token] for token, i in model["vocab"].items()}
+        known = {i: raw[token] for token, i in model["vocab"].items()}
         self.first = [0] * 256
         for token, i in model["vocab"].items():
             if len(raw[token]) == 1:
@@ -74,7 +69,8 @@ class Vocabulary:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[model["vocab"][a], model["vocab"][b]] = rank << 32 | model["vocab"][a + b]
         self.special = {x["content"]: x["id"] for x in content["added_tokens"]}
-        self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
+        known |= {i: text.encode() for text, i in self.special.items()}
+        self.bytes_of = [known.get(i, b"") for i in range(max(known) + 1)]
         self._cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
     def merge(self, word: bytes) -> list[int]:
@@ -153,39 +149,18 @@ def pieces(text: str) -> list[str]:
     return cut[:1] * bool(cut[0]) + [" " + x for x in cut[1:]]
 
 
-def word_counts(docs: DataFrame, path: str, size: int = SUMMARY_WORDS) -> DataFrame:
-    """Words of all texts with counts, from one summary of at most `size` words for each task."""
-    small_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, found = vocabulary(path), Counter()
-        for batch in batches:
-            for text in batch.column(1).to_pylist():
-                for part in vocab.parts(text or ""):
-                    if isinstance(part, str):
-                        found.update(pieces(part))
-                if len(found) > size:
-                    found = shrunk(found, size)
-        words: Counter = Counter()
-        for piece, n in found.items():
-            for word in WORDS.findall(piece):
-                words[word] += n
-        yield pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()), "n": pa.array(list(words.values()), pa.int64())})
-
-    return texts(docs).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def shrunk(found: Counter, size: int) -> Counter:
-    """Take the same amount from every count so that at most half of `size` words stay above zero."""
-    floor = heapq.nlargest(size // 2 + 1, found.values())[-1]
-    return Counter({word: n - floor for word, n in found.items() if n > floor})
+def piece_counts(docs: DataFrame) -> DataFrame:
+    """Stretches between spaces in all texts, with counts."""
+    stretches = texts(docs).select(F.explode(F.split("text", " ")).alias("piece"))
+    return stretches.filter("piece <> ''").groupBy("piece").agg(F.count("*").alias("n"))
 
 
 def compile_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
-    """Publish the transducer of the most frequent words; at most `words` rows reach the driver."""
+    """Publish the transducer of the words in the most frequent stretches, at most `words` of which reach the driver."""
     vocab = vocabulary(path)
-    top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(words).collect()
-    return publish(docs.sparkSession, "lexicon", compile_words((w, vocab.merge(w)) for w in (r["word"].encode() for r in top)))
+    top = piece_counts(docs).filter(F.length("piece") <= LONG_WORD).orderBy(F.desc("n"), "piece").limit(words).collect()
+    known = dict.fromkeys(w for r in top for w in WORDS.findall(" " + r["piece"]))
+    return publish(docs.sparkSession, "lexicon", compile_words((w, vocab.merge(w)) for w in map(str.encode, known)))
 
 
 class _Recent(dict):
@@ -222,6 +197,8 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
+        if piece[0] == " " and piece[1:].isalpha():  # a space and letters are one word
+            return self._word(piece)
         return b"".join(map(self.words.__getitem__, WORDS.findall(piece)))
 
     def packed(self, text: str) -> bytes:
