@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, licences, pii, quality
+from marquee.llm import bpe, licences, pii, quality, toxicity
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,8 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_personal_data(read_table(spark, folder, "documents")).drop("found")
+
+
+@_query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
