@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, licences, pii, quality, toxicity
+from marquee.llm import bpe, decontaminate, licences, pii, quality, simhash, toxicity
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,13 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+@_query
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@_query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
