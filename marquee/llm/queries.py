@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, licences, pii, quality, simhash, toxicity
+from marquee.llm import bpe, decontaminate, licences, pii, quality, sharding, simhash, toxicity
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@_query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, folder, "documents"))
