@@ -26,7 +26,7 @@ from marquee.llm.transducer import Transducer, compile_words
 
 LEXICON_WORDS = 65_536
 # Stretches and words whose ids an encoding worker remembers.
-MEMO_WORDS = 300_000
+MEMO_PIECES, MEMO_WORDS = 600_000, 200_000
 
 LONG_WORD = 128
 _NONE, _ID = 1 << 62, (1 << 32) - 1
@@ -187,7 +187,7 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, lexicon: Transducer) -> None:
         self.vocab, self.lexicon = vocab, lexicon
         self.words = _Recent(self._word, MEMO_WORDS)
-        self.pieces = _Recent(self._piece, MEMO_WORDS)
+        self.pieces = _Recent(self._piece, MEMO_PIECES)
 
     def _word(self, word: str) -> bytes:
         raw = word.encode()
@@ -197,8 +197,11 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        if piece[0] == " " and piece[1:].isalpha():  # a space and letters are one word
-            return self._word(piece)
+        if piece[0] == " ":
+            if piece[1:].isalpha():  # a space and letters are one word
+                return self._word(piece)
+            if piece[-1] in ".," and piece[1:-1].isalpha():
+                return self.pieces[piece[:-1]] + self.words[piece[-1]]
         return b"".join(map(self.words.__getitem__, WORDS.findall(piece)))
 
     def packed(self, text: str) -> bytes:
