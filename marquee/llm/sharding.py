@@ -79,7 +79,7 @@ def _moved(state: DataFrame, quota: list[int], turn: int) -> DataFrame:
     # How a text is spread, and which of its shards keep it: as many as it fills, those with most of it first.
     spread = state.groupBy("digest", "copies", "shard").agg(F.sum("n").alias("here"))
     fits = F.get(free, F.col("shard")) >= F.least("copies", _long(least)) - F.col("here")
-    order = Window.partitionBy("digest").orderBy(F.desc("here"), fits.desc(), F.xxhash64("digest", "shard"))
+    order = Window.partitionBy("digest").orderBy(fits.desc(), F.desc("here"), F.xxhash64("digest", "shard", F.lit(turn)))
     ranked = spread.withColumn("place", F.row_number().over(order) - 1)
     keeps = F.ceil(F.col("copies") / F.lit(least)).cast("int")
     whole = Window.partitionBy("digest").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
