@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, licences, lines, pii, quality, sharding, simhash, toxicity
+from marquee.llm import bpe, decontaminate, licences, lines, pii, quality, sharding, simhash, substrings, toxicity
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_report(read_table(spark, folder, "documents"))
+
+
+@_query
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, folder, "documents")).drop("kept")
