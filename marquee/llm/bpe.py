@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import per_text, publish, texts
 from marquee.llm.transducer import Transducer, compile_words
+from marquee.session import materialize
 
-LEXICON_WORDS = 65_536
+# The most stretches whose words are compiled, and how often one must occur to be thought of.
+LEXICON_WORDS, FREQUENT = 65_536, 4
 # Stretches and words whose ids an encoding worker remembers.
 MEMO_PIECES, MEMO_WORDS = 600_000, 200_000
 
@@ -155,11 +157,23 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     return stretches.filter("piece <> ''").groupBy("piece").agg(F.count("*").alias("n"))
 
 
+def frequent_pieces(docs: DataFrame, most: int) -> list[str]:
+    """At most `most` stretches, all those from some count on; the count comes from a histogram of fixed size."""
+    counts = piece_counts(docs).filter((F.col("n") >= FREQUENT) & (F.length("piece") <= LONG_WORD))
+    counts = materialize(counts.withColumn("size", F.floor(8 * F.log2("n"))), "pieces")
+    left, least = most, None
+    for row in counts.groupBy("size").agg(F.count("*").alias("n")).orderBy(F.desc("size")).collect():
+        left -= row["n"]
+        if left < 0:
+            break
+        least = row["size"]
+    return [] if least is None else sorted(r["piece"] for r in counts.filter(F.col("size") >= least).select("piece").collect())
+
+
 def compile_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
     """Publish the transducer of the words in the most frequent stretches, at most `words` of which reach the driver."""
     vocab = vocabulary(path)
-    top = piece_counts(docs).filter(F.length("piece") <= LONG_WORD).orderBy(F.desc("n"), "piece").limit(words).collect()
-    known = dict.fromkeys(w for r in top for w in WORDS.findall(" " + r["piece"]))
+    known = dict.fromkeys(w for piece in frequent_pieces(docs, words) for w in WORDS.findall(" " + piece))
     return publish(docs.sparkSession, "lexicon", compile_words((w, vocab.merge(w)) for w in map(str.encode, known)))
 
 

@@ -27,7 +27,7 @@ def texts(docs: DataFrame) -> DataFrame:
 def per_text(docs: DataFrame, schema: str, rows: Callable[[list, list], dict]) -> DataFrame:
     """Columns that `rows` derives from the ids and texts of a batch, a row for each document; one pass, no shuffle."""
     small_batches(docs.sparkSession)
-    kind = _arrow_schema(docs.sparkSession, schema)
+    kind = arrow_schema(docs.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,17 +38,13 @@ def per_text(docs: DataFrame, schema: str, rows: Callable[[list, list], dict]) -
     return texts(docs).mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     return to_arrow_schema(_parse_datatype_string(schema))
 
 
-def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
-    return _arrow_schema(spark, schema)
-
-
 def publish(spark: SparkSession, label: str, content: bytes) -> str:
     """Write bytes to the shared folder and have every executor, later ones too, fetch the file; returns its name."""
     target = fresh_path(spark, label)
@@ -69,3 +65,18 @@ def held_out(doc_id: str = "doc_id"):
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def text_hash(text):
+    """Hash of a whole text; null and empty texts share one."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int, *order: str) -> DataFrame:
+    """The `rows` rows whose key has the least hash, ties by `order`. Tasks first leave out the hashes that are
+    twice too many, so that what they send does not grow with their number."""
+    n = df.count()
+    least = F.xxhash64(key)
+    if n > 2 * rows:
+        df = df.filter(least < -(1 << 63) + int((1 << 64) * (2 * rows / n)))
+    return df.orderBy(least, key, *order).limit(rows)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import arrow_schema, per_text
+from marquee.llm.common import arrow_schema, bounded_sample, per_text
 from marquee.session import materialize
 
 # Trees, rows in a tree, and the bound of the labelled sample that they are drawn from.
@@ -184,7 +184,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.select(labels["doc_id"].cast("bigint").alias("doc_id"), labels["quality"].cast("int").alias("quality")).dropna()
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     labelled = rows.filter(~failed).join(known, "doc_id")
-    sample = labelled.filter("quality = 1").orderBy(F.xxhash64("doc_id"), *FEATURES).limit(SAMPLE_ROWS).select(*FEATURES)
+    sample = bounded_sample(labelled.filter("quality = 1"), "doc_id", SAMPLE_ROWS, *FEATURES).select(*FEATURES)
     forest = Forest(np.array([tuple(r) for r in sample.collect()], dtype=float).reshape(-1, len(FEATURES)))
     bins = with_scores(labelled, forest).groupBy(F.floor(F.col("score") * BINS).alias("place"), "quality").agg(F.count("*").alias("n"))
     limit = threshold([(r["place"], r["quality"], r["n"]) for r in bins.collect()])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marquee.llm.common import arrow_schema, per_text
+from marquee.llm.common import arrow_schema, per_text, text_hash
 from marquee.llm.graph import components
 from marquee.session import materialize
 
@@ -56,17 +56,18 @@ def fingerprint(found: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """doc_id, fingerprint in hex digits, and the same bits as a signed long."""
+    """doc_id, fingerprint in hex digits, the same bits as a signed long, and a hash of the text."""
 
     def rows(ids: list, whole: list) -> dict:
         found = [fingerprint(hashes(text, size)) for text in whole]
         return {
             "doc_id": ids,
             "fingerprint": [f"{x:016x}" for x in found],
-            "bits": [x - (x >> 63 << 64) for x in found],
+            "bits": [_signed(x) for x in found],
+            "text_hash": [_signed(xxh64_intdigest((text or "").encode(), SEED)) for text in whole],
         }
 
-    return per_text(docs, "doc_id bigint, fingerprint string, bits bigint", rows)
+    return per_text(docs, "doc_id bigint, fingerprint string, bits bigint, text_hash bigint", rows)
 
 
 def covering_masks(radius: int, free: int = (1 << 64) - 1) -> list[int]:
@@ -138,8 +139,29 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) ->
     """
     prints = materialize(fingerprints(docs, size), "fingerprints")
     nodes = prints.groupBy("bits").agg(F.min("doc_id").alias("first"))
-    roots = components(links(prints.select("bits").distinct(), radius))
-    placed = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
+    placed = _placed(nodes, prints, radius)
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     known = placed.join(least, "root").select("bits", "component_id")
     return prints.join(known, "bits").select("doc_id", "fingerprint", "component_id")
+
+
+def _placed(nodes: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
+    """`nodes`, a row for each fingerprint, with the root of its group."""
+    roots = components(links(prints.select("bits").distinct(), radius))
+    return nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
+
+
+def keep_first(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row of each group of `near_duplicates`, with all columns: that of the smallest doc_id, null ids last.
+
+    Rows are told apart by doc_id and text; of rows equal in both, one stays if they do.
+    """
+    prints = materialize(fingerprints(docs, size), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    nodes = prints.groupBy("bits").agg(F.min(order).alias("first"))
+    stays = _placed(nodes, prints, radius).groupBy("root").agg(F.min("first").alias("first"))
+    keys = stays.select(F.col("first.doc_id").alias("own_id"), F.col("first.text_hash").alias("own_hash"))
+    names = [f"_key{i}_{'_'.join(docs.columns)}" for i in (0, 1)]  # like no column there is
+    marked = docs.withColumns({names[0]: docs["doc_id"].cast("bigint"), names[1]: text_hash(docs["text"])})
+    mine = marked[names[0]].eqNullSafe(keys["own_id"]) & (marked[names[1]] == keys["own_hash"])
+    return marked.join(keys, mine, "left_semi").dropDuplicates(names).select(*docs.columns)

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import arrow_schema, held_out, per_text, small_batches, texts
+from marquee.llm.common import arrow_schema, bounded_sample, held_out, per_text, small_batches, texts
 from marquee.session import materialize
 
 # Words in a window, and bytes at which a longer word is cut.
@@ -157,8 +157,7 @@ def learnt_labels(labels: DataFrame) -> DataFrame:
 def train_dictionaries(docs: DataFrame, known: DataFrame) -> Dictionaries:
     """From at most SAMPLE_WINDOWS windows of SAMPLE_DOCUMENTS labelled documents of each class."""
     small_batches(docs.sparkSession)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sides = [known.filter(F.col("toxic") == label).orderBy(*order).limit(SAMPLE_DOCUMENTS) for label in (1, 0)]
+    sides = [bounded_sample(known.filter(F.col("toxic") == label), "doc_id", SAMPLE_DOCUMENTS) for label in (1, 0)]
     # The sample has a fixed number of rows, so it may be broadcast whatever the size of the table.
     sample = texts(docs).join(F.broadcast(sides[0].unionByName(sides[1])), "doc_id").select("toxic", "text")
     schema = "toxic int, piece binary"
@@ -171,7 +170,7 @@ def train_dictionaries(docs: DataFrame, known: DataFrame) -> Dictionaries:
 
     pieces = materialize(sample.mapInArrow(cut, schema), "windows")
     found = [
-        [bytes(r["piece"]) for r in pieces.filter(F.col("toxic") == label).orderBy(F.xxhash64("piece"), "piece").limit(SAMPLE_WINDOWS).collect()]
+        [bytes(r["piece"]) for r in bounded_sample(pieces.filter(F.col("toxic") == label), "piece", SAMPLE_WINDOWS).collect()]
         for label in (1, 0)
     ]
     return Dictionaries(*found)
@@ -199,7 +198,7 @@ def gains_of(docs: DataFrame, pair: Dictionaries) -> DataFrame:
 def calibrated(read: DataFrame, known: DataFrame) -> Calibration:
     """Weights from at most SAMPLE_ROWS labelled rows, the cut from the score bins of all of them."""
     labelled = read.join(known, "doc_id")
-    sample = labelled.orderBy(F.xxhash64("doc_id"), *GAINS).limit(SAMPLE_ROWS).select("toxic", *GAINS).collect()
+    sample = bounded_sample(labelled, "doc_id", SAMPLE_ROWS, *GAINS).select("toxic", *GAINS).collect()
     table = np.array([tuple(r) for r in sample], dtype=float).reshape(-1, 1 + len(GAINS))
     calibration = Calibration(table[:, 1:], table[:, 0])
     bins = with_scores(labelled, calibration, ["toxic"]).groupBy(F.floor(F.col("score") * BINS).alias("place"), "toxic")
@@ -223,12 +222,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of `docs` that are not toxic, with all their columns.
 
-    The model is fitted as for `score_toxicity`, but the calibration sees labelled documents only, so that
-    whole texts are compressed once, where they are kept or dropped."""
+    The model is fitted as for `score_toxicity`; then each text is compressed again where it is kept or dropped,
+    which costs less than to shuffle texts to their scores."""
     known = learnt_labels(labels)
     pair = train_dictionaries(docs, known)
-    labelled = docs.select("doc_id", "text").join(known.select("doc_id"), "doc_id", "left_semi")
-    model = Model(pair, calibrated(materialize(gains_of(labelled, pair), "gains"), known))
+    model = Model(pair, calibrated(materialize(gains_of(docs, pair), "gains"), known))
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
