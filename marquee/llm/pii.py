@@ -29,8 +29,8 @@ from marquee.session import materialize
 
 # Kinds in the order in which spans with the same start are listed.
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "name")
-# Posterior from which a candidate is reported, and characters around it that are read as context.
-SURE, CONTEXT = 0.9, 48
+# Probability from which a candidate is reported, and characters around it that are read as context.
+SURE, CONTEXT = 0.95, 48
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -167,20 +167,20 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
     return pattern, checksum, gazetteer, edges, around
 
 
-def scan(text: str | None) -> tuple[list[Span], list[tuple[Span, str]]]:
-    """Certain spans, and all candidates with their kind and votes as text."""
+def scan(text: str | None) -> tuple[list[Span], list[tuple[Span, str, bool]]]:
+    """Certain spans, and all candidates with their kind and votes as text, and whether they may be added: not those
+    that a certain pattern has decided on."""
     text = text or ""
     base, seen, candidates = [], set(), []
     for span, good in base_matches(text):
         if good:
             base.append(span)
-        if span not in seen:
-            seen.add(span)
-            candidates.append((span, pattern_of(text, span)))
+        seen.add(span)
+        candidates.append((span, pattern_of(text, span), False))
     for span in wider_matches(text):
         if span not in seen:
             seen.add(span)
-            candidates.append((span, pattern_of(text, span)))
+            candidates.append((span, pattern_of(text, span), True))
     return base, candidates
 
 
@@ -264,8 +264,8 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """Spans of personal data in every whole text, a row for each row.
 
     Columns: doc_id, n_email, n_ip, n_card, n_phone (certain spans), base_sha256, spans, found (the spans as
-    structs). A candidate is added if the classifier is at least `sure` and it overlaps no certain span and no
-    candidate that was added to its left. A null or empty text has no spans; repeated rows and null ids are
+    structs). A candidate of the wider patterns is added if the classifier is at least `sure`, no labeler votes
+    against it, and it overlaps no certain span and no candidate that was added to its left. A null or empty text has no spans; repeated rows and null ids are
     scanned like any other; other columns are not looked at; an empty table gives an empty result.
     """
     span = "struct<kind: string, start: int, end: int>"
@@ -275,10 +275,10 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
         return {
             "doc_id": ids,
             "base": [[s._asdict() for s in in_order(base)] for base, _ in scanned],
-            "candidates": [[{"span": s._asdict(), "pattern": p} for s, p in found] for _, found in scanned],
+            "candidates": [[{"span": s._asdict(), "pattern": p, "open": o} for s, p, o in found] for _, found in scanned],
         }
 
-    schema = f"doc_id bigint, base array<{span}>, candidates array<struct<span: {span}, pattern: string>>"
+    schema = f"doc_id bigint, base array<{span}>, candidates array<struct<span: {span}, pattern: string, open: boolean>>"
     read = materialize(per_text(docs, schema, rows), "spans")
     patterns = read.select(F.explode("candidates.pattern").alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
     chance = trained(sorted((r["pattern"], r["n"]) for r in patterns.collect()))
@@ -290,7 +290,8 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
             made: dict = {f.name: [] for f in kind}
             for row in batch.to_pylist():
                 base = [Span(**s) for s in row["base"]]
-                spans = added(base, [(Span(**c["span"]), chance[c["pattern"]]) for c in row["candidates"]], sure)
+                likely = [Span(**c["span"]) for c in row["candidates"] if c["open"] and chance[c["pattern"]] >= sure and "-" not in c["pattern"]]
+                spans = added(base, likely)
                 made["doc_id"].append(row["doc_id"])
                 for name in KINDS[:4]:
                     made[f"n_{name}"].append(sum(s.kind == name for s in base))
@@ -302,11 +303,11 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     return read.mapInArrow(decide, out)
 
 
-def added(base: list[Span], candidates: list[tuple[Span, float]], sure: float) -> list[Span]:
-    """Certain spans in order, and from left to right the likely candidates that overlap no span so far."""
-    likely = in_order([span for span, p in candidates if p >= sure])
+def added(base: list[Span], likely: list[Span]) -> list[Span]:
+    """Certain spans in order, and from left to right the likely ones that overlap no span so far."""
     if not likely:
         return in_order(base)
+    likely = in_order(likely)
     starts = sorted((s.start, s.end) for s in base)
     tops = list(accumulate((end for _, end in starts), max))
     kept, end = [], 0

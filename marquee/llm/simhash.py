@@ -91,16 +91,16 @@ def linked(found: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
     """Every fingerprint but the first of each component within a bucket, with that first one.
 
     A reached fingerprint is compared with those not reached yet, so a dense group costs little more than its size."""
-    rest = np.sort(found)
+    rest = np.sort(found).view(np.uint64)  # bits of signed numbers are not counted as such
     while len(rest) > 1:
         first, rest = rest[:1], rest[1:]
-        queue, root = [first[0]], int(first[0])
+        queue, root = [first[0]], int(first.view(np.int64)[0])
         while queue and len(rest):
             near = np.bitwise_count(rest ^ queue.pop()) <= radius
             if near.any():
                 reached, rest = rest[near], rest[~near]
                 queue.extend(reached)
-                for x in reached.tolist():
+                for x in reached.view(np.int64).tolist():
                     yield x, root
 
 

@@ -1,0 +1,15 @@
+import pytest
+
+import texts
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return texts.frame(spark)
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    schema = "doc_id bigint, quality int, toxic int"
+    known = [(i, i % 3 and 1, int(i % 4 == 0)) for i, *_ in texts.rows() if i is not None]
+    return spark.createDataFrame([*known, (None, 1, 1), (9999, None, None), (12345, 1, 0)], schema)
