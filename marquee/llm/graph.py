@@ -20,20 +20,21 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     edges = materialize(edges, "links")
-    state = _state(edges)
     for _ in range(ROUNDS):
-        edges = materialize(_small_star(_large_star(edges)), "links")
-        before, state = state, _state(edges)
-        if state == before:
+        if _are_stars(edges):
             break
+        edges = materialize(_small_star(_large_star(edges)), "links")
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a root or has just one link, to a smaller root."""
+    out, into = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")), edges.select(F.col("b").alias("node"), F.lit(2).alias("up"))
+    roles = out.unionByName(into).groupBy("node").agg(F.count(F.when(F.col("up") == 1, 1)).alias("links"), F.max("up").alias("most"))
+    return roles.filter((F.col("links") > 1) | ((F.col("links") == 1) & (F.col("most") == 2))).isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
     found = edges.select(F.col("b").alias("a"), F.col("a").alias("far")).join(least, "a")
-    return found.select(F.col("far").alias("a"), F.col("least").alias("b")).distinct()
+    return found.select(F.col("far").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import texts
+from texts import docs  # noqa: F401
 from marquee.llm import lines, sharding, simhash, substrings, suffixes
 from marquee.llm.graph import components
 
@@ -251,7 +252,7 @@ def test_wide_and_narrow_counters_agree(spark, docs):
 def test_repeated_rows_and_hot_lines(spark):
     rows = [(i, "the same line everywhere\nown words number " + "x" * (i % 50)) for i in range(600)] + [(3, "twin\nrows")] * 3
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert lines.line_report(docs).agg(F.sum("n_removed")).first()[0] == 599 + 550 + 4
+    assert lines.line_report(docs).agg(F.sum("n_removed")).first()[0] == 599 + 550
     kept = lines.dedup_lines(docs)
     assert kept.count() == 603 and kept.filter("text = 'twin\nrows'").count() == 3
 

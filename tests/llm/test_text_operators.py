@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import texts
+from texts import docs, labels  # noqa: F401
 from marquee.llm import bpe, decontaminate, licences, pii, quality, toxicity
 from marquee.llm.transducer import Transducer, compile_words
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -44,3 +46,15 @@ def clashing(spark, *names: str):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return frame(spark)
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    schema = "doc_id bigint, quality int, toxic int"
+    known = [(i, i % 3 and 1, int(i % 4 == 0)) for i, *_ in rows() if i is not None]
+    return spark.createDataFrame([*known, (None, 1, 1), (9999, None, None), (12345, 1, 0)], schema)
