@@ -1,52 +1,62 @@
-"""Averages and ratios that come out the same however rows are partitioned.
+"""Sums, averages and ratios that come out the same however rows are partitioned.
 
 Floating sums depend on the order in which partial results meet. Measures are
-therefore summed as whole hundredths in a bigint, which is associative and stays
-in the fast path of hash aggregation, and only the final quotient is rounded,
-half up, in integer arithmetic.
+therefore summed as decimals that hold twelve places of every double, which is
+associative, and only the final quotient is rounded, half up, by long division.
+Comparisons of single values stay on the raw doubles.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DIGITS = 2
+PLACES = 12
+# A measure and a sum of measures. A value that is not finite or too wide counts as missing.
+EXACT, SUMMED = f"decimal(32,{PLACES})", f"decimal(38,{PLACES})"
 
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def fixed(value: Column | str, digits: int = DIGITS) -> Column:
-    """Double to whole units of 10**-digits."""
-    return F.rint(_col(value) * F.lit(float(10**digits))).cast("bigint")
+def fixed(value: Column | str) -> Column:
+    """Number as an exact decimal; null for infinities, NaN and values beyond 1e20."""
+    return _col(value).try_cast(EXACT)
 
 
-def unfixed(units: Column | str, digits: int = DIGITS) -> Column:
-    return _col(units) / F.lit(float(10**digits))
+def unfixed(exact: Column | str) -> Column:
+    return _col(exact).cast("double")
 
 
 def _half_up(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
     """numerator * 10**shift / denominator, rounded half up to whole units, as units of 10**-digits.
 
-    Quotient and remainder in bigint are exact and cost next to nothing per row.
-    Operands so large that they might overflow take the decimal way instead.
+    Long division, three digits at a time: remainders are below the divisor, so no step outgrows a decimal. A
+    quotient that would outgrow a bigint is divided as a decimal, which is wide enough for a double's digits.
     """
-    scale = 10**shift
-    safe = (2**63 - 1) // (2 * scale + 1)
-    top, bottom = numerator.cast("bigint"), F.nullif(denominator.cast("bigint"), F.lit(0).cast("bigint"))
-    size, step = F.abs(top), F.lit(scale).cast("bigint")
-    rest = F.call_function("div", (size % bottom) * step * 2 + bottom, bottom * 2)
-    units = F.call_function("div", size, bottom) * step + rest
-    quick = F.when(top < 0, -units).otherwise(units) / F.lit(float(10**digits))
-    wide = "decimal(20,0)"
-    slow = (F.round(top.cast(wide) / bottom.cast(wide), shift) * 10 ** (shift - digits)).cast("double")
-    return F.when((size <= safe) & (bottom <= safe), quick).otherwise(slow)
+    places = shift
+    top, bottom = numerator.cast(SUMMED), F.nullif(denominator.cast(EXACT), F.lit(0).cast(EXACT))
+    size, step = F.abs(top), F.abs(bottom)
+    fits = size.cast("double") / step.cast("double") < 9e18 / 10**shift
+    size = F.when(fits, size)
+    units, rest = F.call_function("div", size, step), (size % step).cast(EXACT)
+    while shift > 0:
+        some = min(3, shift)
+        wide = (rest * F.lit(Decimal(10**some))).cast(SUMMED)
+        units = units * F.lit(10**some).cast("bigint") + F.call_function("div", wide, step)
+        rest = (wide % step).cast(EXACT)
+        shift -= some
+    units = units + F.when(rest * F.lit(Decimal(2)) >= step, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    signed = F.when((top < 0) != (bottom < 0), -units).otherwise(units) / F.lit(float(10**digits))
+    plain = (F.round(F.try_divide(top, bottom), places) * F.lit(10 ** (places - digits))).cast("double")
+    return F.when(bottom.isNull(), F.lit(None).cast("double")).when(fits, signed).otherwise(plain)
 
 
 def ratio(numerator: Column | str, denominator: Column | str, digits: int) -> Column:
-    """Quotient of two bigints, rounded half up; null for a zero denominator, which must not be negative."""
+    """Quotient of two numbers, rounded half up; null for a zero denominator."""
     return _half_up(_col(numerator), _col(denominator), digits, digits)
 
 
@@ -54,6 +64,6 @@ def percent(numerator: Column | str, denominator: Column | str, digits: int) ->
     return _half_up(_col(numerator), _col(denominator), digits + 2, digits)
 
 
-def mean(units: Column | str, count: Column | str, digits: int, scale: int = DIGITS) -> Column:
-    """Average from a sum of fixed units and a row count."""
-    return ratio(_col(units), _col(count) * F.lit(10**scale).cast("bigint"), digits)
+def mean(total: Column | str, count: Column | str, digits: int) -> Column:
+    """Average from an exact sum and a row count."""
+    return ratio(total, count, digits)

@@ -57,7 +57,7 @@ def roi_ranked(df: DataFrame) -> DataFrame:
 
 def rolling_roi(ranked: DataFrame) -> DataFrame:
     """Average return over the last 10 releases of the genre, ids breaking equal dates."""
-    units = ranked.withColumn("_roi", fixed("roi", 4))
+    units = ranked.withColumn("_roi", fixed("roi"))
     moved = moving_rows(
         units,
         ["genre"],
@@ -65,7 +65,7 @@ def rolling_roi(ranked: DataFrame) -> DataFrame:
         ROLLING_TITLES - 1,
         {"_roi_sum": F.sum("_roi"), "_roi_rows": F.count("_roi")},
     )
-    smoothed = mean("_roi_sum", "_roi_rows", 4, scale=4)
+    smoothed = mean("_roi_sum", "_roi_rows", 4)
     return moved.withColumn("rolling_avg_roi", smoothed).drop("_roi", "_roi_sum", "_roi_rows")
 
 

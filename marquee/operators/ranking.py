@@ -1,100 +1,110 @@
-"""Ranks and row-based moving windows inside groups of any size.
-
-A window partitioned by day, week or genre sends the whole group to one task.
-When the input is small that is the cheapest plan and it is the one used. When
-it is not, one day may hold a third of the data, so the group is sliced:
-
-1. rows are range-partitioned by group, order and a hash, so that neither a
-   group nor a tie has to fit one slice, and written out once: the slice of a
-   row is then settled even if executors are lost later;
-2. each slice is ranked by itself;
-3. slice totals, one row per group and slice, give the shift of every slice.
+"""Ranks and row-based moving windows inside groups of any size, as one lazy plan.
+
+A window partitioned by day, week or genre sends the whole group to one task,
+and one day may hold a third of the data. Here a group is cut by the order
+itself: `coarse` maps a value to a step of a logarithmic scale that keeps the
+order. Small tables of counts per group and step give every step its start, and
+only the rows of one step meet in a window. Ties are combined before they are
+ranked, so a value that most rows share is one row. Nothing runs while the plan
+is built, and it is the same plan at every size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from marquee.session import fits_one_task, materialize
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 Order = list[tuple[str, str]]
 
-FUNCTIONS = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}
-
+# Steps of the scale between a number and its double.
+STEPS = 256
 # Rows of one group that a moving window handles in one task.
 CHUNK_ROWS = 1_000_000
 
 
+def coarse(df: DataFrame, name: str) -> Column:
+    """Step of a value on a scale that keeps the order: as many steps for each doubling, up and down from zero."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, TimestampType):
+        return F.unix_seconds(value).cast("bigint")
+    if not isinstance(kind, NumericType):
+        return F.ascii(value).cast("bigint")
+    number = value.cast("double")
+    size = F.greatest(F.abs(number), F.lit(1e-300))
+    double = F.floor(F.log2(size))
+    step = (double + 1000) * STEPS + F.floor((size / F.pow(F.lit(2.0), double) - 1) * STEPS)
+    far = F.lit(1 << 40).cast("bigint")
+    ends = F.when(F.isnan(number), far + 1).when(F.abs(number) == float("inf"), far).otherwise(step.cast("bigint"))
+    step = F.when(number == 0, F.lit(0).cast("bigint")).when(number < 0, -ends).otherwise(ends)
+    return F.when(value.isNotNull(), step)
+
+
 def _sorting(order: Order) -> list[Column]:
     return [F.col(name).desc() if way == "desc" else F.col(name).asc() for name, way in order]
 
 
+def _started(counts: DataFrame, keys: list[str], order: list[Column], measure: str, out: str) -> DataFrame:
+    """Sum of `measure` over the rows that come earlier within `keys`."""
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn(out, F.coalesce(F.sum(measure).over(earlier), F.lit(0).cast("bigint")))
+
+
+def _with_step(df: DataFrame, order: Order) -> DataFrame:
+    return df.withColumn("_step", coarse(df, order[0][0]))
+
+
 def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
     """Add `dense_rank`, `rank` or `row_number` within `by`, as a bigint.
 
     For `row_number` the order must tell rows apart, or the numbering of tied
     rows is arbitrary, as in any window.
     """
-    if fits_one_task(df):
-        return _plain(df, by, order, kind, out)
-    sliced = _sliced(df, by, order)
-    # The estimate of a plan with joins multiplies their sides; the written size is the true one.
-    if fits_one_task(sliced):
-        return _plain(sliced.drop("_slice"), by, order, kind, out)
-    return _ranked(sliced, by, order, kind, out)
-
-
-def _plain(df: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
-    window = Window.partitionBy(*by).orderBy(*_sorting(order))
-    return df.withColumn(out, FUNCTIONS[kind]().over(window).cast("bigint"))
-
-
-def _sliced(df: DataFrame, by: list[str], order: Order) -> DataFrame:
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*[F.col(c) for c in by], *_sorting(order), F.xxhash64(*df.columns)]
-    return materialize(df.repartitionByRange(slices, *keys).withColumn("_slice", F.spark_partition_id()), "slices")
-
-
-def _ranked(sliced: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
-    # The group as one struct: never null itself, so groups with a null key join by plain equality.
-    grouped = sliced.withColumn("_group", F.struct(*by))
-    inside = Window.partitionBy("_group", "_slice").orderBy(*_sorting(order))
-    local = grouped.withColumn("_local", FUNCTIONS[kind]().over(inside).cast("bigint"))
-    joined = local.join(_shifts(local, order, kind), ["_group", "_slice"])
-    position = F.col("_local") + F.col("_shift")
-    if kind == "rank":
-        # Ties that run on from earlier slices share the rank of their first row.
-        position = F.when(F.col("_continued") & (F.col("_local") == 1), F.col("_start")).otherwise(position)
-    return joined.select(*[c for c in sliced.columns if c != "_slice"], position.alias(out))
-
-
-def _shifts(local: DataFrame, order: Order, kind: str) -> DataFrame:
-    """What to add to the local ranks of each slice. A group has at most one row per slice here."""
-    key = F.struct(*[name for name, _ in order])
-    totals = local.groupBy("_group", "_slice").agg(
-        F.count("*").alias("_rows"),
-        F.max("_local").alias("_top"),
-        F.min_by(key, "_local").alias("_first"),
-        F.max_by(key, "_local").alias("_last"),
-    )
-    in_order = Window.partitionBy("_group").orderBy("_slice")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    linked = totals.withColumn("_continued", F.lag("_last").over(in_order).eqNullSafe(F.col("_first")))
-    if kind == "dense_rank":
-        # A value on both sides of a slice boundary counts once.
-        repeats = F.sum(F.col("_continued").cast("bigint")).over(in_order)
-        shift = F.coalesce(F.sum("_top").over(earlier), zero) - repeats
-        return linked.select("_group", "_slice", shift.alias("_shift"))
-    counted = linked.withColumn("_shift", F.coalesce(F.sum("_rows").over(earlier), zero))
     if kind == "row_number":
-        return counted.select("_group", "_slice", "_shift")
-    # Rank at which a slice's last value begins, unless that was in an earlier slice.
-    through = F.col("_continued") & F.col("_first").eqNullSafe(F.col("_last"))
-    begins = F.when(~through, F.col("_shift") + F.col("_top"))
-    started = F.last(begins, ignorenulls=True).over(earlier)
-    return counted.select("_group", "_slice", "_shift", "_continued", started.alias("_start"))
+        return _numbered(df, by, order, out)
+    names = [name for name, _ in order]
+    # Key columns as one struct: never null itself, so rows with null keys join by plain equality.
+    values = df.groupBy(F.struct(*by).alias("_group"), F.struct(*names).alias("_value")).agg(F.count("*").alias("_rows"))
+    values = _with_step(values.select("*", "_value.*"), order)
+    counted = "_rows" if kind == "rank" else "_values"
+    steps = values.groupBy("_group", "_step").agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_values"))
+    way = F.col("_step").desc() if order[0][1] == "desc" else F.col("_step").asc()
+    starts = _started(steps, ["_group"], [way], counted, "_start")
+    starts = starts.select("_group", F.struct("_step").alias("_at"), "_start")
+    placed = values.withColumn("_at", F.struct("_step")).join(starts, ["_group", "_at"])
+    one = placed.withColumn("_values", F.lit(1).cast("bigint"))
+    ranked = _started(one, ["_group", "_at"], _sorting(order), counted, "_inside")
+    ranks = ranked.select("_group", "_value", (F.col("_start") + F.col("_inside") + 1).alias("_rank"))
+    keyed = df.withColumns({"_group": F.struct(*by), "_value": F.struct(*names)})
+    return keyed.join(ranks, ["_group", "_value"]).select(*df.columns, F.col("_rank").alias(out))
+
+
+def _numbered(df: DataFrame, by: list[str], order: Order, out: str) -> DataFrame:
+    """Row numbers within `by`: cells of a step, a value and a step of the next column, each numbered by itself."""
+    first, way = order[0]
+    cells = {"_group": F.struct(*by), "_step": F.struct(coarse(df, first).alias("s")), "_value": F.struct(F.col(first).alias("v"))}
+    turn = {"_step": way, "_value": way}
+    if len(order) > 1:
+        cells["_next"], turn["_next"] = F.struct(coarse(df, order[1][0]).alias("s")), order[1][1]
+    keyed = df.withColumns(cells)
+    levels = list(turn)
+    counts = {len(levels): keyed.groupBy("_group", *levels).agg(F.count("*").alias("_rows"))}
+    for depth in range(len(levels) - 1, 0, -1):
+        counts[depth] = counts[depth + 1].groupBy("_group", *levels[:depth]).agg(F.sum("_rows").alias("_rows"))
+    starts = None
+    for depth in range(1, len(levels) + 1):
+        level, keys = levels[depth - 1], ["_group", *levels[: depth - 1]]
+        # The order of a struct of one field is that of the field.
+        how = F.col(level).desc() if turn[level] == "desc" else F.col(level).asc()
+        own = _started(counts[depth], keys, [how], "_rows", f"_from{depth}").drop("_rows")
+        starts = own if starts is None else own.join(starts, keys)
+    total = sum((F.col(f"_from{d}") for d in range(1, len(levels) + 1)), F.lit(0).cast("bigint"))
+    cell = ["_group", *levels]
+    inside = Window.partitionBy(*cell).orderBy(*_sorting(order))
+    joined = keyed.join(starts.select(*cell, total.alias("_from")), cell)
+    return joined.withColumn("_place", F.row_number().over(inside)).select(*df.columns, (F.col("_from") + F.col("_place")).alias(out))
 
 
 def moving_rows(
@@ -102,18 +112,12 @@ def moving_rows(
 ) -> DataFrame:
     """Aggregates over each row and the `back` rows before it in its group.
 
-    For groups without a size bound the rows are numbered, cut into chunks of
-    equal length, and the last `back` rows of a chunk are lent to the next one.
+    The rows are numbered, cut into chunks of equal length, and the last `back`
+    rows of a chunk are lent to the next one.
     """
-    small = fits_one_task(df)
-    sliced = None if small else _sliced(df, by, order)
-    if small or fits_one_task(sliced):
-        frame = Window.partitionBy(*by).orderBy(*_sorting(order)).rowsBetween(-back, Window.currentRow)
-        rows = df if small else sliced.drop("_slice")
-        return rows.withColumns({name: measure.over(frame) for name, measure in measures.items()})
     if back >= chunk_rows:
         raise ValueError("a chunk must be longer than the frame")
-    numbered = _ranked(sliced, by, order, "row_number", "_number")
+    numbered = _numbered(df, by, order, "_number")
     home = F.floor((F.col("_number") - 1) / chunk_rows)
     lent = (F.col("_number") - 1) % chunk_rows >= chunk_rows - back
     chunks = F.when(lent, F.array(home, home + 1)).otherwise(F.array(home))

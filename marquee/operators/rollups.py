@@ -33,8 +33,8 @@ def weekly_content(df: DataFrame, day: str = "extraction_date") -> DataFrame:
     )
     return summed.withColumns(
         {
-            "avg_popularity": F.try_divide(F.col("_popularity_sum").cast("double"), F.col("_popularity_rows") * 100.0),
-            "avg_vote_average": F.try_divide(F.col("_vote_sum").cast("double"), F.col("_vote_rows") * 100.0),
+            "avg_popularity": F.try_divide(unfixed("_popularity_sum"), F.col("_popularity_rows")),
+            "avg_vote_average": F.try_divide(unfixed("_vote_sum"), F.col("_vote_rows")),
         }
     ).drop("_popularity_sum", "_popularity_rows", "_vote_sum", "_vote_rows")
 
@@ -61,7 +61,7 @@ def monthly_genre_stats(df: DataFrame, day: str = "extraction_date") -> DataFram
         F.sum("_vote_average").alias("_vote_average"),
         F.count("_vote_average").alias("_vote_rows"),
         F.sum("vote_count").alias("vote_count"),
-        F.max("_popularity").alias("_peak"),
+        F.max("popularity").alias("_peak"),
     )
     by_genre = per_title.withColumn("genre", F.explode("genres")).filter(F.col("genre").isNotNull())
     leader = F.struct(F.col("_peak"), -F.col("id"), F.col("media_type"), F.col("title"))
@@ -74,7 +74,7 @@ def monthly_genre_stats(df: DataFrame, day: str = "extraction_date") -> DataFram
             F.sum("_vote_average").alias("_vote_average"),
             F.sum("_vote_rows").alias("_vote_rows"),
             F.sum("vote_count").alias("total_vote_count"),
-            unfixed(F.max("_peak")).alias("peak_popularity"),
+            F.max("_peak").alias("peak_popularity"),
             F.max_by("title", leader).alias("top_title"),
         )
         .withColumns(
@@ -94,7 +94,7 @@ def weekly_summary(fact: DataFrame, day: str = "date") -> DataFrame:
         .groupBy("movie_id", "media_type", "week_start")
         .agg(
             F.count("*").alias("days_trending"),
-            mean(F.sum(F.col("position").cast("bigint")), F.count("position"), 1, scale=0).alias("avg_position"),
+            mean(F.sum(F.col("position").cast("bigint")), F.count("position"), 1).alias("avg_position"),
             F.min("position").alias("best_position"),
             mean(F.sum("_popularity"), F.count("_popularity"), 1).alias("avg_popularity"),
         )
@@ -108,7 +108,7 @@ def weekly_ranks(weekly: DataFrame) -> DataFrame:
 def week_over_week(weekly: DataFrame) -> DataFrame:
     """Popularity change in percent against the title's previous week, 0 without a positive base."""
     history = Window.partitionBy("media_type", "movie_id").orderBy("week_start")
-    now, before = fixed("avg_popularity", 1), F.lag(fixed("avg_popularity", 1)).over(history)
+    now, before = fixed("avg_popularity"), F.lag(fixed("avg_popularity")).over(history)
     # The previous week is a column of its own: the window runs once for both uses.
     kept = weekly.withColumn("_before", before)
     change = F.when(F.col("_before") > 0, percent(now - F.col("_before"), F.col("_before"), 1))
@@ -134,9 +134,9 @@ def daily_genre_trends(fact: DataFrame, genres: DataFrame) -> DataFrame:
 
 def moving_genre_popularity(daily: DataFrame) -> DataFrame:
     frame = Window.partitionBy("genre_id").orderBy("date").rowsBetween(-29, Window.currentRow)
-    units = fixed("avg_popularity", 1)
-    moved = daily.withColumns({"_sum": F.sum(units).over(frame), "_rows": F.count(units).over(frame)})
-    return moved.withColumn("avg_popularity_30d", mean("_sum", "_rows", 1, scale=1)).drop("_sum", "_rows")
+    exact = fixed("avg_popularity")
+    moved = daily.withColumns({"_sum": F.sum(exact).over(frame), "_rows": F.count(exact).over(frame)})
+    return moved.withColumn("avg_popularity_30d", mean("_sum", "_rows", 1)).drop("_sum", "_rows")
 
 
 def _measures(fact: DataFrame, by: list[str]) -> DataFrame:
@@ -148,7 +148,7 @@ def _measures(fact: DataFrame, by: list[str]) -> DataFrame:
         F.count("_popularity").alias("_popularity_rows"),
         F.sum("_vote_average").alias("_vote_average"),
         F.count("_vote_average").alias("_vote_rows"),
-        F.max("_popularity").alias("_peak"),
+        F.max("popularity").alias("_peak"),
     )
 
 

@@ -279,7 +279,7 @@ def titles_to_enrich(fact: DataFrame, movies: DataFrame, today: Column, n: int =
     return unpriced.join(recent, "movie_id", "left_semi").select("movie_id").orderBy("movie_id").limit(n)
 
 
-def genre_movies(fact: DataFrame, bridge: DataFrame, genre_id: int) -> DataFrame:
+def genre_movies(fact: DataFrame, bridge: DataFrame, genre_id: Column | int) -> DataFrame:
     """Fact rows of one genre's titles."""
     members = bridge.filter(F.col("genre_id") == genre_id).select("movie_id")
     return fact.join(members, "movie_id", "left_semi")

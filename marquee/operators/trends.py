@@ -145,6 +145,6 @@ def rolling_averages(df: DataFrame, title: list[str] = TITLE, day: str = "extrac
         {
             "rolling_7d_avg_popularity": mean("_popularity_sum", "rolling_7d_data_points", 4),
             "rolling_30d_avg_vote_average": mean("_average_sum", "rolling_30d_data_points", 4),
-            "rolling_7d_avg_vote_count": mean("_votes_sum", "_votes_rows", 2, scale=0),
+            "rolling_7d_avg_vote_count": mean("_votes_sum", "_votes_rows", 2),
         }
     ).drop("_day", "_popularity", "_vote_average", "_popularity_sum", "_votes_sum", "_votes_rows", "_average_sum")

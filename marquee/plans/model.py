@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.functions.exact import fixed, mean, unfixed
+from marquee.functions.exact import EXACT, fixed, mean, unfixed
 from marquee.functions.labels import image_url
 from marquee.operators.finance import roi_pct
 from marquee.operators.trends import daily_positions
@@ -45,15 +45,15 @@ def newest_day(t: Tables) -> Column:
 
 def chart(t: Tables) -> DataFrame:
     """Daily fact: popularity sums the day's values, the score is their average."""
-    units = t.events.select(
+    values = t.events.select(
         F.col("user_id").alias("movie_id"),
         F.col("event_type").alias("media_type"),
         F.col("ts").cast("date").alias("date"),
-        fixed("value").alias("_units"),
+        fixed("value").alias("_exact"),
     )
-    return units.groupBy("movie_id", "media_type", "date").agg(
-        unfixed(F.sum("_units")).alias("popularity"),
-        mean(F.sum("_units"), F.count("_units"), 2).alias("vote_average"),
+    return values.groupBy("movie_id", "media_type", "date").agg(
+        unfixed(F.sum("_exact")).alias("popularity"),
+        mean(F.sum("_exact"), F.count("_exact"), 6).alias("vote_average"),
         F.count("*").alias("vote_count"),
     )
 
@@ -78,9 +78,9 @@ def content(t: Tables) -> DataFrame:
 
 
 def genre_id(word: Column) -> Column:
-    """Number built from a word's first three letters."""
-    letters = [F.ascii(F.substring(word, place, 1)) for place in (1, 2, 3)]
-    return (letters[0] * 1000000 + letters[1] * 1000 + letters[2]).cast("int")
+    """Number built from the whole word."""
+    digest = F.conv(F.substring(F.md5(word.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return digest.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
 def genre_words(t: Tables) -> DataFrame:
@@ -108,7 +108,7 @@ def money(t: Tables) -> DataFrame:
         "l_partkey",
         F.col("l_shipdate").cast("date").alias("_shipped"),
         F.col("l_quantity").cast("bigint").alias("_pieces"),
-        (fixed("l_extendedprice") * (100 - fixed("l_discount"))).alias("_income"),
+        (fixed("l_extendedprice") * (1 - F.col("l_discount").try_cast("decimal(4,2)"))).cast(EXACT).alias("_income"),
     )
     sold = lines.groupBy("l_partkey").agg(
         F.min("_shipped").alias("release_date"), F.sum("_pieces").alias("_pieces"), F.sum("_income").alias("_income")
@@ -117,8 +117,8 @@ def money(t: Tables) -> DataFrame:
     return priced.select(
         F.col("l_partkey").alias("movie_id"),
         "release_date",
-        F.expr("cast(rint(p_retailprice * 100) as bigint) * _pieces div 100").alias("budget"),
-        F.expr("_income div 10000").alias("revenue"),
+        F.floor(F.col("p_retailprice").try_cast("decimal(16,6)") * F.col("_pieces")).cast("bigint").alias("budget"),
+        F.floor("_income").cast("bigint").alias("revenue"),
     )
 
 

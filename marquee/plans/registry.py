@@ -41,18 +41,35 @@ def query(covers: str, sql: str | None = None):
 def half_up(numerator: str, denominator: str, digits: int) -> str:
     """Exact quotient in integer arithmetic, rounded half away from zero."""
     n, d = f"cast({numerator} as hugeint)", f"cast({denominator} as hugeint)"
-    whole = f"cast(sign({n}) as hugeint) * ((2 * abs({n}) * {10**digits} + {d}) // (2 * {d}))"
+    whole = f"cast(sign({n}) * sign({d}) as hugeint) * ((2 * abs({n}) * {10**digits} + abs({d})) // (2 * abs({d})))"
     return f"(case when {d} <> 0 then cast({whole} as double) / {10**digits}e0 end)"
 
 
+def exact(value: str) -> str:
+    """Twelve places of a double, from its shortest form; none of an infinite one."""
+    return f"try_cast(cast({value} as varchar) as decimal(38,12))"
+
+
+def units(value: str) -> str:
+    """The same as a whole number of UNIT-ths."""
+    return f"cast(replace(cast({exact(value)} as varchar), '.', '') as hugeint)"
+
+
+def rounded(total: str, count: str, digits: int) -> str:
+    """Average of summed units, as a whole number of 10**-digits."""
+    return f"cast((2 * ({total}) * {10**digits} + ({count}) * {UNIT}) // (2 * ({count}) * {UNIT}) as hugeint)"
+
+
+UNIT = 10**12
 CHART = f"""
 chart as (
   select user_id as movie_id, event_type as media_type, cast(ts as date) as date,
-         cast(sum(cast(round(value * 100) as bigint)) as bigint) as units, count(value) as rated, count(*) as vote_count
+         sum({units("value")}) as units, sum({exact("value")}) as total, count({exact("value")}) as rated, count(*) as vote_count
   from events group by 1, 2, 3),
 scored as (
-  select *, units / 100e0 as popularity, {half_up("units", "rated * 100", 2)} as vote_average,
-         case when rated > 0 then cast((2 * units + rated) // (2 * rated) as bigint) end as score_units
+  select * exclude (total), cast(cast(total as varchar) as double) as popularity,
+         case when rated > 0 then {rounded("units", "rated", 6)} end / 1e6 as vote_average,
+         case when rated > 0 then {rounded("units", "rated", 6)} * 1000000 end as score_units
   from chart),
 fact as (
   select *, dense_rank() over (partition by date order by units desc) as position from scored)"""
@@ -61,8 +78,8 @@ WORDS = """
 words as (
   select distinct p_partkey as movie_id, unnest(string_split(p_name, ' ')) as genre_name from part),
 genres as (
-  select distinct cast(ascii(substr(genre_name, 1, 1)) * 1000000 + ascii(substr(genre_name, 2, 1)) * 1000
-         + ascii(substr(genre_name, 3, 1)) as integer) as genre_id, genre_name as name from words),
+  select distinct cast(('0x' || substr(md5(genre_name), 1, 8))::bigint & 2147483647 as integer) as genre_id,
+         genre_name as name from words),
 bridge as (select movie_id, genre_id from words join genres on name = genre_name)"""
 
 CONTENT = f"""{CHART},
@@ -74,12 +91,12 @@ content as (
 MONEY = f"""
 sold as (
   select l_partkey, min(cast(l_shipdate as date)) as release_date, sum(cast(l_quantity as bigint)) as pieces,
-         sum(cast(round(l_extendedprice * 100) as bigint) * (100 - cast(round(l_discount * 100) as bigint))) as income
+         sum(cast(cast(l_extendedprice as varchar) as decimal(20,6)) * cast(1 - cast(l_discount as decimal(4,2)) as decimal(4,2))) as income
   from lineitem group by 1),
 money as (
   select l_partkey as movie_id, release_date,
-         cast(cast(round(p_retailprice * 100) as bigint) * pieces // 100 as bigint) as budget,
-         cast(income // 10000 as bigint) as revenue
+         cast(floor(cast(cast(p_retailprice as varchar) as decimal(16,6)) * cast(pieces as decimal(18,0))) as bigint) as budget,
+         cast(floor(income) as bigint) as revenue
   from sold join part on p_partkey = l_partkey),
 movies as (
   select p_partkey as movie_id, p_name as title, lower(p_type) as original_language, p_brand as overview,
@@ -88,10 +105,10 @@ movies as (
          'https://images.example.org/t/w500/' || p_partkey || '.jpg' as poster_url
   from part left join money on movie_id = p_partkey)"""
 
-SALES = """
+SALES = f"""
 sales as (
   select l_partkey as movie_id, cast(l_shipdate as date) as date,
-         cast(round(l_extendedprice * 100) as bigint) as units, cast(l_quantity as bigint) as quantity
+         {units("l_extendedprice")} as units, l_extendedprice as price, {units("l_quantity")} as quantity
   from lineitem)"""
 
 CAST = """

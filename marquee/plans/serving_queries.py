@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from marquee.operators import rollups, serving
 from marquee.plans import model
 from marquee.plans.model import Tables
-from marquee.plans.registry import CAST, CHART, MONEY, WORDS, half_up, query
+from marquee.functions.exact import fixed
+from marquee.plans.registry import CAST, CHART, MONEY, UNIT, WORDS, exact, half_up, query
 from marquee.plans.trend_queries import MONTHLY, WEEKLY_CHANGE
 
 _MEDIA = "click"
@@ -44,7 +45,7 @@ def _monthly(t: Tables) -> DataFrame:
     f"""with {_FACT}, {WORDS}
     select (select count(*) from part) as total_movies, (select count(*) from genres) as total_genres,
            max(date) as latest_date, count(*) as trending_today,
-           {half_up("sum(score_units)", "count(score_units) * 100", 1)} as avg_rating
+           {half_up("sum(score_units)", f"count(score_units) * {UNIT}", 1)} as avg_rating
     from fact join newest on date = day""",
 )
 def dashboard_kpis(t: Tables) -> DataFrame:
@@ -95,7 +96,7 @@ def genre_shares(t: Tables) -> DataFrame:
       order by position, movie_id limit 5)
     select movie_id, substr(movie_title, 1, 25) as name,
            string_agg(strftime(date, '%Y-%m-%d'), ',' order by date, media_type) as dates,
-           string_agg(cast(units as varchar), ',' order by date, media_type) as units
+           string_agg(cast({exact("popularity")} as varchar), ',' order by date, media_type) as units
     from fact join newest on date >= day - interval 6 day join leaders using (movie_id) join titles using (movie_id)
     group by 1, 2""",
 )
@@ -103,7 +104,7 @@ def popularity_timeline(t: Tables) -> DataFrame:
     newest = model.newest_day(t)
     week = model.fact(t, F.col("date") >= F.date_sub(newest, 6))
     series = serving.popularity_timeline(week, model.titles(t), _MEDIA, newest=newest)
-    units = F.transform("values", lambda v: F.rint(v * 100).cast("bigint").cast("string"))
+    units = F.transform("values", lambda v: fixed(v).cast("string"))
     return series.select(
         "movie_id",
         "name",
@@ -348,19 +349,21 @@ def sales_of_last_month(t: Tables) -> DataFrame:
 @query(
     "J6 U3",
     f"""with {CHART}, large as (
-      select l_partkey, sum(l_quantity) as pieces from lineitem where l_returnflag = 'R' and l_linenumber = 1 group by 1),
+      select l_partkey, sum(case l_returnflag when 'R' then l_quantity when 'A' then -l_quantity else 0 end) as pieces
+      from lineitem group by 1),
     titles as (
-      select p_partkey as movie_id, cast(coalesce(pieces, 0) as bigint) as budget
+      select p_partkey as movie_id, cast(greatest(coalesce(pieces, 0), 0) as bigint) as budget
       from part left join large on l_partkey = p_partkey)
     select distinct movie_id from titles join chart using (movie_id)
     where budget = 0 and date >= (select max(date) from chart) - interval 7 day order by movie_id limit 50""",
 )
 def titles_to_enrich(t: Tables) -> DataFrame:
-    """Budgets known only for titles with a returned first line."""
-    returned = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
-    known = returned.groupBy(F.col("l_partkey").alias("movie_id")).agg(F.sum("l_quantity").alias("_pieces"))
+    """Budget: pieces returned beyond those accepted, over all line items; none leaves a title to enrich."""
+    returned, accepted = F.col("l_returnflag") == "R", F.col("l_returnflag") == "A"
+    pieces = F.when(returned, F.col("l_quantity")).when(accepted, -F.col("l_quantity")).otherwise(0)
+    known = t.lineitem.groupBy(F.col("l_partkey").alias("movie_id")).agg(F.sum(pieces).alias("_pieces"))
     movies = t.part.select(F.col("p_partkey").alias("movie_id")).join(known, "movie_id", "left")
-    movies = movies.withColumn("budget", F.coalesce(F.col("_pieces").cast("bigint"), F.lit(0)))
+    movies = movies.withColumn("budget", F.greatest(F.coalesce(F.col("_pieces"), F.lit(0.0)), F.lit(0.0)).cast("bigint"))
     rows = t.events.select(F.col("user_id").alias("movie_id"), F.col("ts").cast("date").alias("date"))
     return serving.titles_to_enrich(rows, movies, model.newest_day(t))
 
@@ -371,9 +374,9 @@ def titles_to_enrich(t: Tables) -> DataFrame:
     where movie_id in (select movie_id from bridge join genres using (genre_id) where name = 'gizmo')""",
 )
 def facts_of_genre(t: Tables) -> DataFrame:
-    letters = [ord(c) for c in "giz"]
+    wanted = model.genre_id(F.lit("gizmo"))
     rows = model.chart(t).select("movie_id", "media_type", "date", "popularity")
-    return serving.genre_movies(rows, model.bridge(t), letters[0] * 1000000 + letters[1] * 1000 + letters[2])
+    return serving.genre_movies(rows, model.bridge(t), wanted)
 
 
 @query("T2", f"with {WORDS} select genre_id, name from genres order by name")

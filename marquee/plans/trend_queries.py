@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee.operators import finance, rollups, trends
 from marquee.plans import model
 from marquee.plans.model import Tables
-from marquee.plans.registry import CHART, CONTENT, MONEY, SALES, WORDS, half_up, query
+from marquee.plans.registry import CHART, CONTENT, MONEY, SALES, UNIT, WORDS, exact, half_up, query, rounded
 
 TITLE = ["media_type", "movie_id"]
 
@@ -118,8 +118,8 @@ _ROLLING = f"""{CHART}, framed as (
     rolled as (
     select movie_id, media_type, date, popularity, vote_average, vote_count,
            rolling_7d_data_points, rolling_30d_data_points,
-           {half_up("s", "rolling_7d_data_points * 100", 4)} as rolling_7d_avg_popularity,
-           {half_up("m", "rolling_30d_data_points * 100", 4)} as rolling_30d_avg_vote_average,
+           {half_up("s", f"rolling_7d_data_points * {UNIT}", 4)} as rolling_7d_avg_popularity,
+           {half_up("m", f"rolling_30d_data_points * {UNIT}", 4)} as rolling_30d_avg_vote_average,
            {half_up("v", "vn", 2)} as rolling_7d_avg_vote_count from framed)"""
 
 
@@ -137,8 +137,9 @@ def rolling_averages_since(t: Tables) -> DataFrame:
 _WEEKLY_CONTENT = f"""{CONTENT},
 weekly as (
   select id, title, media_type, strftime(extraction_date, '%G-W%V') as year_week,
-         cast(sum(units) as double) / (count(units) * 100e0) as avg_popularity, max(popularity) as peak_popularity,
-         cast(sum(score_units) as double) / (count(score_units) * 100e0) as avg_vote_average,
+         cast(cast(sum({exact("popularity")}) as varchar) as double) / count(popularity) as avg_popularity,
+         max(popularity) as peak_popularity,
+         cast(cast(sum({exact("vote_average")}) as varchar) as double) / count(vote_average) as avg_vote_average,
          cast(sum(vote_count) as bigint) as total_vote_count, count(*) as days_tracked,
          coalesce(array_to_string(any_value(genres), ', '), '') as genres
   from content group by 1, 2, 3, 4)"""
@@ -163,13 +164,13 @@ def weekly_rankings(t: Tables) -> DataFrame:
 
 _MONTHLY_STATS = f"""{CONTENT},
 tagged as (
-  select id, title, media_type, strftime(extraction_date, '%Y-%m') as year_month, units, score_units, vote_count,
+  select id, title, media_type, strftime(extraction_date, '%Y-%m') as year_month, units, popularity, score_units, vote_count,
          unnest(genres) as genre from content),
 totals as (
   select genre, year_month, count(distinct id) as title_count,
-         {half_up("sum(units)", "count(units) * 100", 2)} as avg_popularity,
-         {half_up("sum(score_units)", "count(score_units) * 100", 2)} as avg_vote_average,
-         cast(sum(vote_count) as bigint) as total_vote_count, max(units) / 100e0 as peak_popularity
+         {half_up("sum(units)", f"count(units) * {UNIT}", 2)} as avg_popularity,
+         {half_up("sum(score_units)", f"count(score_units) * {UNIT}", 2)} as avg_vote_average,
+         cast(sum(vote_count) as bigint) as total_vote_count, max(popularity) as peak_popularity
   from tagged group by 1, 2),
 leaders as (
   select genre, year_month, title as top_title,
@@ -190,7 +191,7 @@ _WEEKLY = f"""{CHART},
 weekly as (
   select movie_id, media_type, cast(date_trunc('week', date) as date) as week_start, count(*) as days_trending,
          {half_up("sum(position)", "count(position)", 1)} as avg_position, min(position) as best_position,
-         cast((2 * sum(units) + 10 * count(units)) // (20 * count(units)) as bigint) as tenths
+         {rounded("sum(units)", "count(units)", 1)} as tenths
   from fact group by 1, 2, 3),
 summary as (select * exclude (tenths), tenths / 10e0 as avg_popularity from weekly)"""
 
@@ -229,8 +230,8 @@ def week_over_week(t: Tables) -> DataFrame:
     "A6 W18 J3",
     f"""with {WORDS}, {SALES}, daily as (
       select date, genre_id, name as genre_name, count(*) as trending_count,
-             cast((2 * sum(units) + 10 * count(units)) // (20 * count(units)) as bigint) as tenths,
-             {half_up("sum(quantity)", "count(quantity)", 2)} as avg_vote_average
+             {rounded("sum(units)", "count(units)", 1)} as tenths,
+             {half_up("sum(quantity)", f"count(quantity) * {UNIT}", 2)} as avg_vote_average
       from sales join bridge using (movie_id) join genres using (genre_id) group by 1, 2, 3),
     framed as (
       select *, sum(tenths) over f as s, count(tenths) over f as n from daily
@@ -246,8 +247,8 @@ def daily_genre_trends(t: Tables) -> DataFrame:
 MONTHLY = f"""{WORDS}, {SALES}, {MONEY},
 monthly as (
   select cast(date_trunc('month', date) as date) as month, genre_id, count(distinct sales.movie_id) as trending_count,
-         {half_up("sum(units)", "count(units) * 100", 1)} as avg_popularity,
-         {half_up("sum(quantity)", "count(quantity)", 2)} as avg_vote_average,
+         {half_up("sum(units)", f"count(units) * {UNIT}", 1)} as avg_popularity,
+         {half_up("sum(quantity)", f"count(quantity) * {UNIT}", 2)} as avg_vote_average,
          cast(sum(budget) as bigint) as total_budget, cast(sum(revenue) as bigint) as total_revenue
   from sales join bridge using (movie_id) left join money using (movie_id) group by 1, 2),
 leading_rows as (
@@ -270,7 +271,7 @@ def monthly_genres(t: Tables) -> DataFrame:
     "A7 J7",
     f"""with {WORDS}, {CHART}, placed as (
       select cast(date_trunc('month', date) as date) as month, genre_id, movie_id as top_movie_id,
-             units / 100e0 as peak_popularity,
+             popularity as peak_popularity,
              row_number() over (partition by date_trunc('month', date), genre_id order by units desc, movie_id) as place
       from scored join bridge using (movie_id))
     select * exclude (place) from placed where place = 1""",
@@ -278,7 +279,7 @@ def monthly_genres(t: Tables) -> DataFrame:
 def top_movie_per_genre(t: Tables) -> DataFrame:
     linked = rollups.per_title_month(model.chart(t)).join(model.bridge(t), "movie_id")
     return linked.groupBy("month", "genre_id").agg(
-        rollups.top_movie().alias("top_movie_id"), (F.max("_peak") / 100.0).alias("peak_popularity")
+        rollups.top_movie().alias("top_movie_id"), F.max("_peak").alias("peak_popularity")
     )
 
 

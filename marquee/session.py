@@ -1,17 +1,11 @@
-"""Session settings, size checks and the shared scratch folder."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A plan whose whole input is below this many bytes fits one task, whatever its
-# key distribution, so a group of it needs no splitting.
-TASK_BYTES_KEY = "spark.marquee.taskBytes"
-TASK_BYTES = 128 * 1024 * 1024
-
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -37,19 +31,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
+    """Folder every executor can reach: spark.checkpoint.dir, else one beside the tables of the warehouse.
 
-    Only a local session without the setting gets a temporary folder: on a
-    cluster a machine-local one would be lost with its executor.
-    """
+    Both are settings of the cluster, and the rule is the same for every master."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="marquee-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -61,14 +47,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when even a single group holding every row is small."""
-    limit = int(df.sparkSession.conf.get(TASK_BYTES_KEY, str(TASK_BYTES)))
-    return planned_bytes(df) <= limit

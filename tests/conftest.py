@@ -2,27 +2,18 @@ import datetime as dt
 
 import pytest
 
-from marquee.session import TASK_BYTES_KEY, build_session
+from marquee.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[4]", 4)
+def spark(tmp_path_factory):
+    scratch = tmp_path_factory.mktemp("scratch")
+    session = build_session("local[4]", 4, **{"spark.checkpoint.dir": f"file://{scratch}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 
 
-@pytest.fixture
-def sliced(spark):
-    """Treat every input as too large for one task."""
-    spark.conf.set(TASK_BYTES_KEY, "0")
-    spark.conf.set("spark.sql.shuffle.partitions", "24")
-    yield spark
-    spark.conf.unset(TASK_BYTES_KEY)
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
 def day(text: str) -> dt.date:
     return dt.date.fromisoformat(text)
 

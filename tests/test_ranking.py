@@ -1,4 +1,4 @@
-"""The sliced rank and the chunked moving window against plain windows, on skewed input."""
+"""The stepped rank and the chunked moving window against plain windows, on skewed input."""
 
 import pytest
 from pyspark.sql import Window
@@ -21,40 +21,48 @@ def skewed(spark):
 
 @pytest.mark.parametrize("kind", ["dense_rank", "rank"])
 @pytest.mark.parametrize("way", ["desc", "asc"])
-def test_sliced_ranks(sliced, skewed, kind, way):
+def test_ranks(spark, skewed, kind, way):
     got = ranking.group_rank(skewed, ["g"], [("v", way)], kind, "r")
     order = F.col("v").desc() if way == "desc" else F.col("v").asc()
     plain = skewed.withColumn("r", getattr(F, kind)().over(Window.partitionBy("g").orderBy(order)).cast("bigint"))
     assert rows(got, "id", "r") == rows(plain, "id", "r")
 
 
-def test_sliced_row_numbers(sliced, skewed):
+def test_row_numbers(spark, skewed):
     got = ranking.group_rank(skewed, ["g"], [("v", "desc"), ("id", "asc")], "row_number", "r")
     window = Window.partitionBy("g").orderBy(F.col("v").desc(), "id")
     assert rows(got, "id", "r") == rows(skewed.withColumn("r", F.row_number().over(window).cast("bigint")), "id", "r")
 
 
-def test_no_slice_holds_a_hot_group_or_tie(sliced, skewed):
-    parts = ranking._sliced(skewed, ["g"], [("v", "desc")])
-    assert parts.groupBy("g", "_slice").count().agg(F.max("count")).first()[0] < 2 * 6000 / 24
-    assert parts.filter("g = 'hot' and v = 5.0").select("_slice").distinct().count() > 2
+def test_steps_keep_the_order(spark):
+    numbers = [float("-inf"), -1e30, -3.5, -3.0, -1e-9, 0.0, 1e-310, 1e-9, 1.0, 1.0001, 2.0, 3.999999, 4.0, 1e15, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(numbers)], "i int, v double")
+    steps = [r["s"] for r in df.withColumn("s", ranking.coarse(df, "v")).orderBy("i").collect()]
+    assert steps == sorted(steps) and len(set(steps)) >= 14
+
+
+def test_building_a_rank_starts_no_job(spark, skewed):
+    spark.sparkContext.setJobGroup("building", "none")
+    ranking.group_rank(skewed, ["g"], [("v", "desc")], "rank", "r")
+    ranking.moving_rows(skewed, ["g"], [("id", "asc")], 9, {"s": F.sum("id")})
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+
+
+def test_a_window_holds_no_hot_group_or_tie(spark, skewed):
+    plan = ranking.group_rank(skewed, ["g"], [("v", "desc")], "rank", "r")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert len(windows) == 2 and all("_step" in line or "_at" in line for line in windows)
 
 
 @pytest.mark.parametrize("kind", ["dense_rank", "rank"])
-def test_one_tie_over_all_slices(sliced, spark, kind):
+def test_one_tie(spark, kind):
     df = spark.range(500).withColumns({"g": F.lit(None).cast("string"), "v": (F.col("id") == 7).cast("int")})
     got = ranking.group_rank(df, ["g"], [("v", "desc")], kind, "r").groupBy("v", "r").count()
     assert rows(got, "v", "r", "count") == [(0, 2, 499), (1, 1, 1)]
 
 
-def test_small_input_takes_the_plain_window(spark):
-    df = spark.range(10).withColumn("g", F.lit(1))
-    plan = ranking.group_rank(df, ["g"], [("id", "asc")], "rank", "r")._jdf.queryExecution().toString()
-    assert "_slice" not in plan and "Window" in plan
-
-
 @pytest.mark.parametrize("chunk", [10, 37, 100000])
-def test_chunked_moving_window(sliced, skewed, chunk):
+def test_chunked_moving_window(spark, skewed, chunk):
     order = [("v", "asc"), ("id", "asc")]
     got = ranking.moving_rows(skewed, ["g"], order, 9, {"s": F.sum("id"), "n": F.count("v")}, chunk_rows=chunk)
     frame = Window.partitionBy("g").orderBy("v", "id").rowsBetween(-9, 0)
@@ -62,7 +70,7 @@ def test_chunked_moving_window(sliced, skewed, chunk):
     assert rows(got, "id", "s", "n") == rows(plain, "id", "s", "n")
 
 
-def test_chunk_must_exceed_frame(sliced, skewed):
+def test_chunk_must_exceed_frame(spark, skewed):
     with pytest.raises(ValueError):
         ranking.moving_rows(skewed, ["g"], [("id", "asc")], 9, {"s": F.sum("id")}, chunk_rows=9)
 

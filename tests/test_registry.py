@@ -45,13 +45,3 @@ def test_matches_sql(spark, tables, name):
     folder, db = tables
     good, text, _ = check.compare(spark, db, name, folder, QUERIES[name], SQL[name])
     assert good, text
-
-
-RANKED = ["daily_positions", "daily_positions_per_type", "daily_trends", "weekly_ranks", "roi_by_genre", "roi_analysis"]
-
-
-@pytest.mark.parametrize("name", RANKED)
-def test_sliced_plans_match_sql(sliced, tables, name):
-    folder, db = tables
-    good, text, _ = check.compare(sliced, db, name, folder, QUERIES[name], SQL[name])
-    assert good, text
