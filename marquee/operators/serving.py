@@ -218,14 +218,26 @@ def budget_scatter(movies: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def movie_cast(cast: DataFrame, people: DataFrame, n: int = SHOWN_CAST) -> DataFrame:
-    """First n billed people of every title."""
+def genre_bars(monthly: DataFrame, genres: DataFrame, n: int = 12, newest: Column | None = None) -> DataFrame:
+    """Series of a bar chart: the first n genres of the latest month."""
+    rows = on_latest(monthly, "month", newest)
+    named = rows.join(genres.select("genre_id", F.col("name").alias("genre_name")), "genre_id")
+    first = named.orderBy(F.col("trending_count").desc(), "genre_id").limit(n)
+    return first.select("genre_name", "trending_count", "avg_popularity")
+
+
+def movie_cast(cast: DataFrame, people: DataFrame, n: int = SHOWN_CAST, movie_id: int | None = None) -> DataFrame:
+    """First n billed people of every title, or of one."""
+    if movie_id is not None:
+        cast = cast.filter(F.col("movie_id") == movie_id)
     billed = top_rows(cast, ["movie_id"], [F.col("cast_order"), F.col("person_id")], n)
     return billed.join(people.select("person_id", F.col("name").alias("person_name")), "person_id")
 
 
-def filmography(cast: DataFrame, movies: DataFrame) -> DataFrame:
-    """Every person's titles, newest first."""
+def filmography(cast: DataFrame, movies: DataFrame, person_id: int | None = None) -> DataFrame:
+    """Every person's titles, or one person's, newest first."""
+    if person_id is not None:
+        cast = cast.filter(F.col("person_id") == person_id)
     titles = movies.select("movie_id", "title", "release_date")
     joined = cast.join(titles, "movie_id")
     return joined.orderBy("person_id", F.col("release_date").desc_nulls_last(), "movie_id")

@@ -43,9 +43,17 @@ def newest_day(t: Tables) -> Column:
     return t.events.agg(F.max("ts").cast("date")).scalar()
 
 
-def chart(t: Tables) -> DataFrame:
+def events_between(t: Tables, first: Column | None, last: Column | None) -> DataFrame:
+    """Events of the days from `first` to `last`, bounded on the stored column, so that the scan can skip the others."""
+    rows = t.events
+    if first is not None:
+        rows = rows.filter(F.col("ts") >= first.cast("timestamp"))
+    return rows if last is None else rows.filter(F.col("ts") < F.date_add(last, 1).cast("timestamp"))
+
+
+def chart(t: Tables, first: Column | None = None, last: Column | None = None) -> DataFrame:
     """Daily fact: popularity sums the day's values, the score is their average."""
-    values = t.events.select(
+    values = events_between(t, first, last).select(
         F.col("user_id").alias("movie_id"),
         F.col("event_type").alias("media_type"),
         F.col("ts").cast("date").alias("date"),
@@ -58,14 +66,13 @@ def chart(t: Tables) -> DataFrame:
     )
 
 
-def fact(t: Tables, days: Column | None = None) -> DataFrame:
+def fact(t: Tables, first: Column | None = None, last: Column | None = None) -> DataFrame:
     """Chart with the day's position, ranked over all media types.
 
     A query about some days names them here: the others are then cut at the scan
     and not ranked at all.
     """
-    rows = chart(t)
-    return daily_positions(rows if days is None else rows.filter(days), "date")
+    return daily_positions(chart(t, first, last), "date")
 
 
 def content(t: Tables) -> DataFrame:

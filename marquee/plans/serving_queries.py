@@ -25,7 +25,7 @@ _FACT_COLUMNS = "movie_id, media_type, date, position, popularity, vote_average,
 
 
 def _fact_on(t: Tables, day: Column) -> DataFrame:
-    return model.fact(t, F.col("date") == day)
+    return model.fact(t, day, day)
 
 
 def _newest_week(t: Tables) -> Column:
@@ -50,7 +50,8 @@ def _monthly(t: Tables) -> DataFrame:
 )
 def dashboard_kpis(t: Tables) -> DataFrame:
     # Positions are not needed, so the chart is read unranked.
-    return serving.kpis(model.chart(t), t.part, model.genres(t), model.newest_day(t))
+    newest = model.newest_day(t)
+    return serving.kpis(model.chart(t, newest), t.part, model.genres(t), newest)
 
 
 @query(
@@ -76,7 +77,7 @@ counted as (
 )
 def genre_distribution(t: Tables) -> DataFrame:
     newest = model.newest_day(t)
-    return serving.genre_distribution(model.chart(t), model.bridge(t), model.genres(t), newest=newest)
+    return serving.genre_distribution(model.chart(t, newest), model.bridge(t), model.genres(t), newest=newest)
 
 
 @query(
@@ -85,7 +86,8 @@ def genre_distribution(t: Tables) -> DataFrame:
     select genre_name, n as "rows", {half_up("n * 100", "total", 2)} as share_pct from counted, whole""",
 )
 def genre_shares(t: Tables) -> DataFrame:
-    today = serving.on_latest(model.chart(t), newest=model.newest_day(t))
+    newest = model.newest_day(t)
+    today = serving.on_latest(model.chart(t, newest), newest=newest)
     return serving.with_share(serving.genre_counts(today, model.bridge(t), model.genres(t)))
 
 
@@ -102,7 +104,7 @@ def genre_shares(t: Tables) -> DataFrame:
 )
 def popularity_timeline(t: Tables) -> DataFrame:
     newest = model.newest_day(t)
-    week = model.fact(t, F.col("date") >= F.date_sub(newest, 6))
+    week = model.fact(t, F.date_sub(newest, 6))
     series = serving.popularity_timeline(week, model.titles(t), _MEDIA, newest=newest)
     units = F.transform("values", lambda v: fixed(v).cast("string"))
     return series.select(
@@ -217,6 +219,28 @@ def newest_months(t: Tables) -> DataFrame:
     return serving.newest_values(t.lineitem.select(F.trunc("l_shipdate", "MM").alias("month")), "month", 12)
 
 
+@query(
+    "T3 F7",
+    """select distinct cast(date_trunc('week', l_shipdate) as date) as week_start from lineitem
+    order by week_start desc limit 12""",
+)
+def newest_weeks(t: Tables) -> DataFrame:
+    weeks = t.lineitem.select(F.date_trunc("week", "l_shipdate").cast("date").alias("week_start"))
+    return serving.newest_values(weeks, "week_start", 12)
+
+
+@query(
+    "J12 T1",
+    f"""with {MONTHLY}, newest as (select max(month) as m from monthly_genres)
+    select genres.name as genre_name, trending_count, avg_popularity from monthly_genres join newest on month = m
+    join genres using (genre_id) order by trending_count desc, genre_id limit 12""",
+)
+def genre_bars(t: Tables) -> DataFrame:
+    """Bar chart of the latest month's first genres."""
+    newest = t.lineitem.agg(F.trunc(F.max("l_shipdate"), "MM")).scalar()
+    return serving.genre_bars(_monthly(t), model.genres(t), newest=newest)
+
+
 @query(
     "J12 P11 T2",
     f"""with {MONTHLY}, newest as (select max(month) as m from monthly_genres)
@@ -267,6 +291,25 @@ def movie_cast(t: Tables) -> DataFrame:
     return serving.movie_cast(model.cast(t), model.people(t))
 
 
+@query(
+    "J13 T4",
+    f"""with {CAST} select movie_id, person_id, cast_order, s_name as person_name from cast_links
+    join supplier on s_suppkey = person_id where movie_id = 5 order by cast_order, person_id limit 15""",
+)
+def cast_of_movie(t: Tables) -> DataFrame:
+    """One title: its line items alone are read."""
+    return serving.movie_cast(model.cast(t), model.people(t), movie_id=5)
+
+
+@query(
+    "J13 T6",
+    f"""with {CAST}, {MONEY} select movie_id, person_id, cast_order, title, release_date
+    from cast_links join movies using (movie_id) where person_id = 3 order by release_date desc nulls last""",
+)
+def films_of_person(t: Tables) -> DataFrame:
+    return serving.filmography(model.cast(t), model.movies(t), person_id=3)
+
+
 @query(
     "J13 T6",
     f"""with {CAST}, {MONEY} select movie_id, person_id, cast_order, title, release_date

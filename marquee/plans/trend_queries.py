@@ -99,7 +99,7 @@ def position_changes(t: Tables) -> DataFrame:
 )
 def changes_since_yesterday(t: Tables) -> DataFrame:
     newest = model.newest_day(t)
-    fact = model.fact(t, F.col("date") >= F.date_sub(newest, 1))
+    fact = model.fact(t, F.date_sub(newest, 1))
     rows = fact.select("movie_id", "media_type", "position", "date")
     current = rows.filter(F.col("date") == newest).drop("date")
     previous = rows.filter(F.col("date") == F.date_sub(newest, 1))

@@ -34,13 +34,13 @@ class JdbcTarget:
 
 
 def write_staging(df: DataFrame, target: JdbcTarget, table: str) -> None:
-    """Replace the staging table."""
-    df.write.jdbc(target.url, table, mode="overwrite", properties=target.properties)
+    """Replace the staging table; only the writers are as few as the connections, not the scan before them."""
+    df.repartition(target.connections).write.jdbc(target.url, table, mode="overwrite", properties=target.properties)
 
 
 def append(df: DataFrame, target: JdbcTarget, table: str) -> None:
     """Add rows known not to be there yet."""
-    df.write.jdbc(target.url, table, mode="append", properties=target.properties)
+    df.repartition(target.connections).write.jdbc(target.url, table, mode="append", properties=target.properties)
 
 
 def read_table(

@@ -45,3 +45,8 @@ def test_matches_sql(spark, tables, name):
     folder, db = tables
     good, text, _ = check.compare(spark, db, name, folder, QUERIES[name], SQL[name])
     assert good, text
+
+
+def test_a_day_is_cut_at_the_scan(spark, tables):
+    plan = QUERIES["daily_page_of_day"](spark, tables[0])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-15" in plan and "LessThan(ts,2024-01-16" in plan

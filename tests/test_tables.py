@@ -235,11 +235,16 @@ class _Frame:
     def __init__(self):
         self.write = _Calls()
 
+    def repartition(self, n):
+        self.parts = n
+        return self
+
 
 def test_jdbc_write_modes():
     target, frame = jdbc.JdbcTarget("jdbc:x", "u", "p"), _Frame()
     jdbc.write_staging(frame, target, "_staging_t")
     assert frame.write.seen["mode"] == "overwrite" and frame.write.seen["table"] == "_staging_t"
+    assert frame.parts == target.connections
     jdbc.append(frame, target, "t")
     assert frame.write.seen["mode"] == "append" and frame.write.seen["properties"]["batchsize"] == "5000"
 
