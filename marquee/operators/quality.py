@@ -103,6 +103,13 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row: how many child rows have no parent. Rows are counted by key first, so a hot key joins as one row."""
+    counted = child.groupBy(column).agg(F.count("*").alias("_rows"))
+    lost = orphans(counted, column, parent, parent_column)
+    return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint")).alias("orphans"))
+
+
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 

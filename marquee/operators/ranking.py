@@ -56,14 +56,15 @@ def _with_step(df: DataFrame, order: Order) -> DataFrame:
     return df.withColumn("_step", coarse(df, order[0][0]))
 
 
-def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str) -> DataFrame:
-    """Add `dense_rank`, `rank` or `row_number` within `by`, as a bigint.
+def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str, top: int | None = None) -> DataFrame:
+    """Add `dense_rank`, `rank` or `row_number` within `by`, as a bigint; `top` keeps the rows up to that rank.
 
     For `row_number` the order must tell rows apart, or the numbering of tied
     rows is arbitrary, as in any window.
     """
     if kind == "row_number":
-        return _numbered(df, by, order, out)
+        numbered = _numbered(df, by, order, out)
+        return numbered if top is None else numbered.filter(F.col(out) <= top)
     names = [name for name, _ in order]
     # Key columns as one struct: never null itself, so rows with null keys join by plain equality.
     values = df.groupBy(F.struct(*by).alias("_group"), F.struct(*names).alias("_value")).agg(F.count("*").alias("_rows"))
@@ -77,6 +78,9 @@ def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str)
     one = placed.withColumn("_values", F.lit(1).cast("bigint"))
     ranked = _started(one, ["_group", "_at"], _sorting(order), counted, "_inside")
     ranks = ranked.select("_group", "_value", (F.col("_start") + F.col("_inside") + 1).alias("_rank"))
+    if top is not None:
+        # Cut before the rows are met again: only those of leading values are kept, however many share one.
+        ranks = ranks.filter(F.col("_rank") <= top)
     keyed = df.withColumns({"_group": F.struct(*by), "_value": F.struct(*names)})
     return keyed.join(ranks, ["_group", "_value"]).select(*df.columns, F.col("_rank").alias(out))
 

@@ -40,14 +40,9 @@ def weekly_content(df: DataFrame, day: str = "extraction_date") -> DataFrame:
 
 
 def weekly_rankings(df: DataFrame, top_n: int = TOP_WEEKLY, day: str = "extraction_date") -> DataFrame:
-    """The top n ranks of each week, ties kept.
-
-    The rank filter is pushed in front of the shuffle (WindowGroupLimit), so a
-    week with most of the titles still sends only its leaders to the reducer.
-    """
-    by_popularity = Window.partitionBy("year_week").orderBy(F.col("avg_popularity").desc())
-    ranked = weekly_content(df, day).withColumn("weekly_rank", F.dense_rank().over(by_popularity))
-    return ranked.filter(F.col("weekly_rank") <= top_n).withColumn("weekly_rank", F.col("weekly_rank").cast("bigint"))
+    """The top n ranks of each week, ties kept: values are ranked, so titles that share one do not meet in a task."""
+    weekly = weekly_content(df, day)
+    return group_rank(weekly, ["year_week"], [("avg_popularity", "desc")], "dense_rank", "weekly_rank", top_n)
 
 
 def monthly_genre_stats(df: DataFrame, day: str = "extraction_date") -> DataFrame:

@@ -86,6 +86,16 @@ def page(ordered: DataFrame, number: int, rows: int = PAGE_ROWS) -> DataFrame:
     return ordered.offset((number - 1) * rows).limit(rows)
 
 
+def page_after(df: DataFrame, table: str, last: dict[str, object], rows: int = PAGE_ROWS) -> DataFrame:
+    """The page that follows the row with the given order values: no earlier page is read or carried along."""
+    later, equal = F.lit(False), F.lit(True)
+    for name, way in LISTING_ORDER[table]:
+        value = F.lit(last[name])
+        later = later | (equal & (F.col(name) < value if way == "desc" else F.col(name) > value))
+        equal = equal & (F.col(name) == value)
+    return page(listing(df.filter(later), table), 1, rows)
+
+
 def kpis(fact: DataFrame, movies: DataFrame, genres: DataFrame, newest: Column | None = None) -> DataFrame:
     """One row: table sizes, latest day, rows and average score on it (0 without scores)."""
     newest = latest(fact) if newest is None else newest

@@ -436,6 +436,16 @@ def people_second_page(t: Tables) -> DataFrame:
     return serving.page(serving.listing(model.people(t), "dim_people"), 2)
 
 
+@query(
+    "T2 T5",
+    """select s_suppkey as person_id, s_name as name, s_acctbal as popularity from supplier
+    where s_acctbal < 5000 or (s_acctbal = 5000 and s_suppkey > 0) order by s_acctbal desc, s_suppkey limit 20""",
+)
+def people_after(t: Tables) -> DataFrame:
+    """A page by its place in the order instead of its number."""
+    return serving.page_after(model.people(t), "dim_people", {"popularity": 5000.0, "person_id": 0})
+
+
 @query(
     "T2",
     f"""with {MONTHLY} select month, genre_id, trending_count, avg_popularity from monthly_genres

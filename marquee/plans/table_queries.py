@@ -87,7 +87,7 @@ def orphan_documents(t: Tables) -> DataFrame:
     "select count(*) as orphans from lineitem where l_partkey not in (select p_partkey from part)",
 )
 def orphan_count(t: Tables) -> DataFrame:
-    return quality.orphans(t.lineitem, "l_partkey", t.part, "p_partkey").agg(F.count("*").alias("orphans"))
+    return quality.orphan_count(t.lineitem, "l_partkey", t.part, "p_partkey")
 
 
 @query(

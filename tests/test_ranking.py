@@ -28,6 +28,12 @@ def test_ranks(spark, skewed, kind, way):
     assert rows(got, "id", "r") == rows(plain, "id", "r")
 
 
+def test_top_ranks(spark, skewed):
+    got = ranking.group_rank(skewed, ["g"], [("v", "desc")], "dense_rank", "r", top=3)
+    plain = skewed.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("bigint"))
+    assert rows(got, "id", "r") == rows(plain.filter("r <= 3"), "id", "r")
+
+
 def test_row_numbers(spark, skewed):
     got = ranking.group_rank(skewed, ["g"], [("v", "desc"), ("id", "asc")], "row_number", "r")
     window = Window.partitionBy("g").orderBy(F.col("v").desc(), "id")
