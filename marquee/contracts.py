@@ -211,7 +211,32 @@ LISTING_ORDER = {
     "agg_monthly_genres": [("month", "desc"), ("trending_count", "desc"), ("genre_id", "asc")],
 }
 
-# (table, column, parent table, parent column, on delete)
+# Columns that must not be null, and what an absent value becomes.
+REQUIRED = {
+    "dim_genres": ["genre_id", "name"],
+    "dim_movies": ["movie_id", "title"],
+    "dim_people": ["person_id", "name"],
+    "bridge_movie_genres": ["movie_id", "genre_id"],
+    "bridge_movie_cast": ["movie_id", "person_id"],
+    "fact_daily_trends": ["media_type", "date", "position"],
+    "agg_weekly_summary": ["week_start"],
+    "agg_monthly_genres": ["month"],
+}
+DEFAULTS = {
+    "dim_movies": {"original_language": "", "overview": "", "budget": 0, "revenue": 0, "poster_url": "", "backdrop_url": ""},
+    "dim_people": {"profile_url": "", "known_for_department": "", "popularity": 0.0},
+    "bridge_movie_cast": {"character_name": "", "cast_order": 0},
+    "fact_daily_trends": {"position_change": 0, "popularity": 0.0, "vote_average": 0.0, "vote_count": 0},
+    "agg_weekly_summary": {
+        "media_type": "", "days_trending": 0, "avg_position": 0.0, "best_position": 0, "avg_popularity": 0.0,
+        "popularity_change_pct": 0.0,
+    },
+    "agg_monthly_genres": {
+        "trending_count": 0, "avg_popularity": 0.0, "avg_vote_average": 0.0, "total_budget": 0, "total_revenue": 0,
+    },
+}
+
+# Fixed values: (table, column, parent table, parent column, on delete)
 FOREIGN_KEYS = [
     ("bridge_movie_genres", "movie_id", "dim_movies", "movie_id", "cascade"),
     ("bridge_movie_genres", "genre_id", "dim_genres", "genre_id", "cascade"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators import merge, quality, rollups, trends
+from marquee.operators import integrity, merge, quality, rollups, trends
 from marquee.plans import jobs, model
 from marquee.plans.model import Tables
 from marquee.plans.registry import CAST, CHART, CONTENT, MONEY, WORDS, query
@@ -107,6 +107,48 @@ def load_counts(t: Tables) -> DataFrame:
     return quality.load_counts(model.chart(t), t.part, model.genres(t), model.newest_day(t))
 
 
+# --- integrity: facts against the titles of a part of the dimension; some lack a required or an optional value ---
+
+
+def _incoming(t: Tables) -> DataFrame:
+    rows = model.chart(t).select("movie_id", "media_type", "date", "popularity")
+    position = F.when(F.dayofmonth("date") != 9, F.dayofmonth("date"))
+    return rows.withColumns({"position": position, "popularity": F.when(F.col("media_type") != "view", F.col("popularity"))})
+
+
+def _some_titles(t: Tables) -> DataFrame:
+    return t.part.filter(F.col("p_size") > 10).select(F.col("p_partkey").alias("movie_id"))
+
+
+_INCOMING = f"""{CHART},
+incoming as (
+  select movie_id, media_type, date, case when media_type <> 'view' then popularity end as popularity,
+         case when day(date) <> 9 then day(date) end as position,
+         exists (select 1 from part where p_partkey = movie_id and p_size > 10) as known
+  from scored)"""
+
+
+@query(
+    "J15 Q1",
+    f"""with {_INCOMING} select movie_id, media_type, date, coalesce(popularity, 0e0) as popularity,
+    cast(position as integer) as position, 0 as position_change from incoming where known and position is not null""",
+)
+def accepted_facts(t: Tables) -> DataFrame:
+    good, _ = integrity.screened(_incoming(t), "fact_daily_trends", {"dim_movies": _some_titles(t)})
+    return good.select("movie_id", "media_type", "date", "popularity", "position", "position_change")
+
+
+@query(
+    "J15 Q1",
+    f"""with {_INCOMING} select movie_id, media_type, date,
+    concat_ws(', ', case when position is null then 'no position' end, case when not known then 'unknown movie_id' end)
+    as violation from incoming where not known or position is null""",
+)
+def rejected_facts(t: Tables) -> DataFrame:
+    _, bad = integrity.screened(_incoming(t), "fact_daily_trends", {"dim_movies": _some_titles(t)})
+    return bad.select("movie_id", "media_type", "date", "violation")
+
+
 # --- merges: the first 20 days are loaded, a batch re-sends from day 18 on with doubled popularity ---
 
 

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.contracts import STAR_KEYS, STAR_SCHEMA
-from marquee.operators.quality import require_unique
+from marquee.contracts import FOREIGN_KEYS, STAR_KEYS, STAR_SCHEMA
+from marquee.operators.integrity import screened
+from marquee.operators.quality import QualityError, require_unique
 from marquee.session import materialize
 from marquee.sources.layers import write_counted
 
@@ -56,6 +57,16 @@ class Warehouse:
             found = self._read(f"{self.root}/{name}/v{version}", STAR_SCHEMA[name]) if version else None
         return self._empty(name) if found is None else found.select(*StructType.fromDDL(STAR_SCHEMA[name]).fieldNames())
 
+    def merge_checked(self, name: str, batch: DataFrame, how: Merge, unique: bool = True) -> int:
+        """Merge a batch under the schema's rules: defaults are filled in, and one row without a required value or
+        with a reference to nothing makes the whole batch fail, as it does in a database."""
+        parents = {parent: self.read(parent) for table, _, parent, _, _ in FOREIGN_KEYS if table == name}
+        good, bad = screened(batch, name, parents)
+        first = bad.first()
+        if first is not None:
+            raise QualityError(f"{name}: {first['violation']}, e.g. {first.asDict()}")
+        return self.merge(name, good, how, unique)
+
     def merge(self, name: str, batch: DataFrame, how: Merge, unique: bool = True) -> int:
         """Merge a batch into a table and return the rows written."""
         schema = StructType.fromDDL(STAR_SCHEMA[name])

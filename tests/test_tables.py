@@ -1,5 +1,6 @@
 """Gates, merges, layers, warehouse, export and streaming."""
 
+import datetime as dt
 import json
 import os
 from types import SimpleNamespace
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import day, rows
 from marquee.contracts import EXPORTS, MOVIE
 from marquee.operators import merge, quality, serving
+from marquee.operators.quality import QualityError
 from marquee.session import scratch_dir
 from marquee.sources import export, jdbc, landing, layers
 from marquee.sources.warehouse import Warehouse
@@ -320,3 +322,21 @@ def test_listing_orders(spark):
     cast = films.select("movie_id", F.lit(7).alias("person_id"), F.lit("t").alias("title"))
     listed = serving.filmography(cast.drop("title"), films.withColumn("title", F.lit("t")))
     assert [r["movie_id"] for r in listed.collect()] == [3, 2, 1]
+
+
+def test_checked_merges_refuse_bad_rows_and_fill_defaults(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    titles = spark.createDataFrame([(1, "One"), (2, "Two")], "movie_id bigint, title string")
+    keep = lambda old, new: merge.upsert(old, new, ["movie_id"])
+    assert warehouse.merge_checked("dim_movies", titles, keep) == 2
+    assert rows(warehouse.read("dim_movies"), "movie_id", "overview", "budget") == [(1, "", 0), (2, "", 0)]
+    day = dt.date(2024, 1, 1)
+    schema = "movie_id bigint, media_type string, date date, position int"
+    facts = lambda *found: spark.createDataFrame(found, schema)
+    add = lambda old, new: merge.upsert(old, new, ["movie_id", "date", "media_type"])
+    for bad, reason in (((9, "movie", day, 1), "unknown movie_id"), ((1, "movie", day, None), "no position")):
+        with pytest.raises(QualityError, match=reason):
+            warehouse.merge_checked("fact_daily_trends", facts((1, "tv", day, 1), bad), add)
+    assert warehouse.read("fact_daily_trends").count() == 0
+    assert warehouse.merge_checked("fact_daily_trends", facts((1, "tv", day, 1), (2, "tv", day, 2)), add) == 2
+    assert rows(warehouse.read("fact_daily_trends"), "movie_id", "vote_count", "popularity") == [(1, 0, 0.0), (2, 0, 0.0)]
