@@ -243,6 +243,14 @@ def test_fuzzy_lines(spark):
         assert kept[i]["text"] == want and kept[i]["n_chars"] == len(want or "")
 
 
+def test_blocks_cover_every_difference():
+    draw, masks = random.Random(9), lines._masks()
+    assert len(masks) == 20 and min(m.bit_count() for m in masks) >= 31
+    for _ in range(3000):
+        flips = sum(1 << b for b in draw.sample(range(64), lines.RADIUS))
+        assert any(not m & flips for m in masks)
+
+
 def test_wide_and_narrow_counters_agree(spark, docs):
     read = lines._lines(docs).select(*lines.KEY, "line", F.array_distinct("words").alias("words"))
     both = [sorted(map(str, lines._prints(read, width).collect())) for width in (16, 32)]
