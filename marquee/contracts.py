@@ -212,7 +212,7 @@ LISTING_ORDER = {
 }
 
 # Columns that must not be null, and what an absent value becomes.
-REQUIRED = {
+NOT_NULL = {
     "dim_genres": ["genre_id", "name"],
     "dim_movies": ["movie_id", "title"],
     "dim_people": ["person_id", "name"],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.contracts import DEFAULTS, FOREIGN_KEYS, REQUIRED, STAR_SCHEMA
+from marquee.contracts import DEFAULTS, FOREIGN_KEYS, NOT_NULL, STAR_SCHEMA
 
 
 def with_defaults(batch: DataFrame, table: str) -> DataFrame:
@@ -32,7 +32,7 @@ def violations(batch: DataFrame, table: str, parents: dict[str, DataFrame]) -> D
     not looked up.
     """
     checked = batch
-    found = [F.nullif(_is_null(REQUIRED.get(table, [])), F.lit(""))]
+    found = [F.nullif(_is_null(NOT_NULL.get(table, [])), F.lit(""))]
     for child, column, parent, parent_column, _ in FOREIGN_KEYS:
         if child == table and parent in parents:
             known = parents[parent].select(F.col(parent_column).alias(column))
