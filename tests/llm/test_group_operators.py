@@ -245,7 +245,7 @@ def test_fuzzy_lines(spark):
 
 def test_blocks_cover_every_difference():
     draw, masks = random.Random(9), lines._masks()
-    assert len(masks) == 20 and min(m.bit_count() for m in masks) >= 31
+    assert len(masks) == 10 and min(m.bit_count() for m in masks) >= 24
     for _ in range(3000):
         flips = sum(1 << b for b in draw.sample(range(64), lines.RADIUS))
         assert any(not m & flips for m in masks)
