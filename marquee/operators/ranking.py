@@ -88,8 +88,10 @@ def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str,
 def _numbered(df: DataFrame, by: list[str], order: Order, out: str) -> DataFrame:
     """Row numbers within `by`: cells of a step, a value and a step of the next column, each numbered by itself."""
     first, way = order[0]
-    cells = {"_group": F.struct(*by), "_step": F.struct(coarse(df, first).alias("s")), "_value": F.struct(F.col(first).alias("v"))}
-    turn = {"_step": way, "_value": way}
+    cells, turn = {"_group": F.struct(*by)}, {}
+    if not isinstance(df.schema[first].dataType, DateType):  # a day is a step of its own
+        cells["_step"], turn["_step"] = F.struct(coarse(df, first).alias("s")), way
+    cells["_value"], turn["_value"] = F.struct(F.col(first).alias("v")), way
     if len(order) > 1:
         cells["_next"], turn["_next"] = F.struct(coarse(df, order[1][0]).alias("s")), order[1][1]
     keyed = df.withColumns(cells)
