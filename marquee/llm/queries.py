@@ -61,7 +61,7 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.line_report(read_table(spark, folder, "documents"))
+    return lines.line_report(read_table(spark, folder, "documents"), near="grams")
 
 
 @_query

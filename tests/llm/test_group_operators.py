@@ -1,6 +1,7 @@
 """Operators that compare documents with each other, against brute force over all pairs."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -265,6 +266,58 @@ def test_repeated_rows_and_hot_lines(spark):
     assert kept.count() == 603 and kept.filter("text = 'twin\nrows'").count() == 3
 
 
+def similar(a, b):
+    return abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b)) and edit(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
+
+
+def test_lines_are_found_by_edit_similarity_alone(spark):
+    """The truth knows no fingerprints: lines of one word replaced mostly differ in more bits than a radius allows."""
+    draw = random.Random(11)
+    words = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randrange(3, 9))) for _ in range(300)]
+    out = []
+    for n in [8, 10, 12, 16, 20, 25, 30, 40] * 3:
+        line = [draw.choice(words) for _ in range(n)]
+        other = list(line)
+        other[draw.randrange(n)] = draw.choice(words)
+        out += [" ".join(line), " ".join(other)]
+    norms = sorted(set(out))
+    pairs = [(a, b) for i, a in enumerate(norms) for b in norms[:i] if similar(a, b)]
+    assert len(pairs) >= 20
+    truth = plain_components([*pairs, *((n, n) for n in norms)])
+    docs = spark.createDataFrame(list(enumerate(out)), "doc_id bigint, text string")
+    gone = {r["doc_id"] for r in lines.line_report(docs, near="grams").filter("n_removed > 0").collect()}
+    seen, want = set(), set()
+    for i, line in enumerate(out):
+        if truth[line] in seen:
+            want.add(i)
+        seen.add(truth[line])
+    assert gone <= want and len(gone) >= 0.95 * len(want)
+    kept = {r["doc_id"] for r in lines.dedup_lines(docs, near="grams").filter("text <> ''").collect()}
+    assert kept == set(range(len(out))) - gone
+
+
+def test_short_lines_within_their_edits_share_a_bucket(spark):
+    draw = random.Random(12)
+    norms = sorted({"".join(draw.choice("ab") for _ in range(draw.randrange(3, 15))) for _ in range(150)})
+    docs = spark.createDataFrame(list(enumerate(norms)), "doc_id bigint, text string")
+    keys = lines._normal_lines(lines._texts(docs)).join(lines.gram_buckets(docs), "line").select("norm", "buckets").collect()
+    own = {}
+    for r in keys:
+        own.setdefault(r["norm"], set()).update(r["buckets"])
+    assert all(own[a] & own[b] for i, a in enumerate(norms) for b in norms[:i] if similar(a, b))
+
+
+def test_queries_look_for_lines_by_characters(spark):
+    from marquee.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("supplied tables not present")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    total = lambda df: df.agg(F.sum("n_removed")).first()[0]
+    assert total(QUERIES["op9_lines"](spark, folder)) == total(lines.line_report(docs, near="grams")) > total(lines.line_report(docs))
+
+
 CASES = {
     "simhash": simhash.near_duplicates,
     "keep_first": simhash.keep_first,
