@@ -6,8 +6,10 @@ segments. A first pass finds the keys that occur in more than one document; a
 second pass sends the segments with such keys, each distinct text once per task,
 to the shard of the key. A shard orders the suffixes of its segments by external
 induced sorting (`suffixes`), neighbours that agree on LENGTH bytes are one
-window, and the smallest document of a window keeps it. The other documents get
-their byte ranges back and drop them.
+window, and the smallest document of a window keeps it. Shards see who has a
+segment only as its smallest and largest document: they tell each task's pack
+which runs of windows have which keeper, and the occurrences, however many a hot
+passage has, stay with their pack and look their ranges up there.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -31,6 +34,13 @@ LENGTH, GRAM = 50, 24
 FILTER_BITS = 1 << 27
 # Keys, or bytes of segments, that a task holds before it hands them on.
 HELD_KEYS, HELD_BYTES = 1 << 22, 1 << 25
+# Least route of rows that are for no shard: more than there are shards.
+AWAY = 1 << 30
+# Occurrences whose ranges are made at once.
+OCCURRENCES = 1 << 16
+# Columns of a pack that go to the shards, and those that are dealt evenly and wait for what the shards tell.
+SEGMENTS = ["pack", "shard", "keys", "sizes", "bytes", "least", "most"]
+HOLDERS = ["pack", "shard", "segment", "doc", "start", "doc_ids", "text_hashes"]
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -86,9 +96,9 @@ def _shards(docs: DataFrame) -> int:
     return 1 << max(6, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2)
 
 
-def _dealt(spark, rows: DataFrame) -> DataFrame:
+def _dealt(spark, rows: DataFrame, key: str = "shard") -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "shard").sortWithinPartitions("shard")
+    return rows.repartition(n, key).sortWithinPartitions(key)
 
 
 def shared_keys(docs: DataFrame, shards: int) -> np.ndarray:
@@ -163,18 +173,19 @@ def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict
 
 
 def send_segments(docs: DataFrame, shards: int, bits: np.ndarray) -> DataFrame:
-    """Segments whose keys may be shared, packed by task and shard: each distinct segment once, and who has it where."""
+    """Segments whose keys may be shared, packed by task and shard: a row for each distinct segment once, whose route is
+    the shard, and a row for who has it where, whose route is any."""
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(bits)  # FILTER_BITS / 8 bytes, always
     schema = (
-        "shard int, keys binary, sizes binary, bytes binary, segment binary, doc binary, start binary, "
-        "doc_ids binary, text_hashes binary"
+        "route int, pack bigint, shard int, keys binary, sizes binary, bytes binary, least binary, most binary, segment binary, "
+        "doc binary, start binary, doc_ids binary, text_hashes binary"
     )
     kind = arrow_schema(spark, schema)
     shift = np.uint64(64 - shards.bit_length() + 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Packing()
+        held, pack = Packing(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = (text or "").encode()
@@ -186,13 +197,24 @@ def send_segments(docs: DataFrame, shards: int, bits: np.ndarray) -> DataFrame:
                 if len(own):
                     held.add(doc_id, raw, keys[own], starts[own], counts[own], shift)
             if held.size > HELD_BYTES:
-                yield held.packed(kind)
-                held = Packing()
-        yield held.packed(kind)
+                yield held.packed(kind, pack)
+                held, pack = Packing(), pack + 1
+        yield held.packed(kind, pack)
 
     return texts(docs).mapInArrow(send, schema)
 
 
+def coded(values: np.ndarray) -> bytes:
+    """Steps from value to value, the bytes of one place together: what mostly repeats or counts up compresses well."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return steps.view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+
+
+def decoded(raw: bytes, kind: type) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+    return np.cumsum(steps, dtype=kind)
+
+
 class Packing:
     """Segments that a task holds, by shard."""
 
@@ -214,18 +236,34 @@ class Packing:
             doc.append(docs.setdefault(who, len(docs)))
             start.append(a)
 
-    def packed(self, kind: pa.Schema) -> pa.RecordBatch:
+    def packed(self, kind: pa.Schema, pack: int) -> pa.RecordBatch:
         rows = []
         for shard, (known, segment, doc, start, docs) in self.shards.items():
+            who = np.array([d for d, _ in docs], dtype=np.int64)[np.array(doc, dtype=np.int64)]
+            least, most = np.full(len(known), NO_ID, dtype=np.int64), np.full(len(known), -NO_ID - 1, dtype=np.int64)
+            np.minimum.at(least, segment, who)
+            np.maximum.at(most, segment, who)
             rows.append((
+                shard,
+                pack,
                 shard,
                 np.array([k for k, _ in known], dtype=np.uint64).tobytes(),
                 np.array([len(b) for _, b in known], dtype=np.uint32).tobytes(),
                 b"".join(b for _, b in known),
-                np.array(segment, dtype=np.uint32).tobytes(),
-                np.array(doc, dtype=np.uint32).tobytes(),
-                np.array(start, dtype=np.uint32).tobytes(),
-                np.array([d for d, _ in docs], dtype=np.int64).tobytes(),
+                coded(least),
+                coded(most),
+                *[None] * 5,
+            ))
+            # Routes beyond those of the shards, spread whatever the shard.
+            rows.append((
+                AWAY + xxh64_intdigest(f"{pack} {shard}") % AWAY,
+                pack,
+                shard,
+                *[None] * 5,
+                coded(np.array(segment, dtype=np.uint32)),
+                coded(np.array(doc, dtype=np.uint32)),
+                coded(np.array(start, dtype=np.uint32)),
+                coded(np.array([d for d, _ in docs], dtype=np.int64)),
                 np.array([h for _, h in docs], dtype=np.int64).tobytes(),
             ))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kind)], schema=kind)
@@ -236,25 +274,27 @@ NO_ID = (1 << 63) - 1
 
 
 class Shard:
-    """All segments of a shard: each distinct one once, with its smallest document."""
-
-    def __init__(self, rows: list[dict]) -> None:
-        number: dict[tuple[int, bytes], int] = {}
-        segment, doc, text_hash, start = [], [], [], []
-        for row in rows:
-            keys, sizes = np.frombuffer(row["keys"], np.uint64).tolist(), np.frombuffer(row["sizes"], np.uint32)
-            ends = np.cumsum(sizes, dtype=np.int64).tolist()
-            own = [number.setdefault((k, row["bytes"][e - s : e]), len(number)) for k, e, s in zip(keys, ends, sizes.tolist())]
-            segment.append(np.array(own, dtype=np.int64)[np.frombuffer(row["segment"], np.uint32)])
-            place = np.frombuffer(row["doc"], np.uint32)
-            doc.append(np.frombuffer(row["doc_ids"], np.int64)[place])
-            text_hash.append(np.frombuffer(row["text_hashes"], np.int64)[place])
-            start.append(np.frombuffer(row["start"], np.uint32).astype(np.int64))
-        self.segment, self.doc, self.text_hash, self.start = map(np.concatenate, (segment, doc, text_hash, start))
-        self.keys = np.array([k for k, _ in number], dtype=np.uint64)
-        self.pieces = [b for _, b in number]
-        self.least = np.full(len(number), NO_ID, dtype=np.int64)
-        np.minimum.at(self.least, self.segment, self.doc)
+    """All segments of a shard: each distinct one once, with its smallest document, and which pack has which."""
+
+    def __init__(self) -> None:
+        self._number: dict[tuple[int, bytes], int] = {}
+        self._packs: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self._least: list[np.ndarray] = []
+
+    def add(self, row: dict) -> None:
+        """Segments of a pack; of one that is known already, only its number is held again."""
+        keys, sizes = np.frombuffer(row["keys"], np.uint64).tolist(), np.frombuffer(row["sizes"], np.uint32)
+        ends = np.cumsum(sizes, dtype=np.int64).tolist()
+        own = [self._number.setdefault((k, row["bytes"][e - s : e]), len(self._number)) for k, e, s in zip(keys, ends, sizes.tolist())]
+        self._packs.append((row["pack"], np.array(own, dtype=np.int64), decoded(row["most"], np.int64)))
+        self._least.append(decoded(row["least"], np.int64))
+
+    def close(self) -> None:
+        self.keys = np.array([k for k, _ in self._number], dtype=np.uint64)
+        self.pieces = [b for _, b in self._number]
+        self.least = np.full(len(self._number), NO_ID, dtype=np.int64)
+        for (_, own, _), least in zip(self._packs, self._least):
+            np.minimum.at(self.least, own, least)
 
     def keepers(self) -> tuple[np.ndarray, np.ndarray]:
         """Smallest document of every window of every segment, and where the segments' windows begin among them."""
@@ -283,36 +323,94 @@ class Shard:
             keepers[place[order]] = least[same]
         return keepers, firsts
 
-    def removed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Documents, their text hashes, and the ranges of bytes that a smaller document has."""
+    def runs(self) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+        """For each pack, runs of windows of its segments that a smaller document than one of the pack's has: number of
+        the segment in the pack, first window, number of windows, keeper. A pack without any is left out."""
+        self.close()
         keepers, firsts = self.keepers()
-        windows = np.diff(firsts)[self.segment]
-        row = np.repeat(np.arange(len(self.segment)), windows)
-        inside = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-        gone = keepers[firsts[self.segment][row] + inside] < self.doc[row]
-        row, inside = row[gone], inside[gone]
-        if not len(row):
-            return row, row, row, row
-        begins = np.concatenate(([True], (row[1:] != row[:-1]) | (inside[1:] != inside[:-1] + 1)))
-        first = np.flatnonzero(begins)
-        last = np.append(first[1:], len(row)) - 1
-        own = row[first]
-        return self.doc[own], self.text_hash[own], self.start[own] + inside[first], self.start[own] + inside[last] + LENGTH
+        change = np.concatenate(([True], keepers[1:] != keepers[:-1]))
+        change[firsts[:-1]] = True
+        begins = np.flatnonzero(change)
+        sizes = np.diff(np.append(begins, len(keepers)))
+        of = np.searchsorted(begins, firsts)  # runs of a segment, as every segment begins one
+        for pack, own, most in self._packs:
+            n = of[own + 1] - of[own]
+            segment = np.repeat(np.arange(len(own)), n)
+            run = of[own][segment] + np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
+            late = keepers[begins[run]] < most[segment]
+            segment, run = segment[late], run[late]
+            if len(run):
+                first = begins[run] - firsts[own[segment]]
+                yield pack, segment.astype(np.uint32).tobytes(), first.astype(np.uint32).tobytes(), sizes[run].astype(np.uint32).tobytes(), keepers[begins[run]].tobytes()
+
+
+def removed(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents, their text hashes, and the ranges of bytes that a smaller document has, of a pack's occurrences."""
+    of, first, n = (np.frombuffer(row[c], np.uint32).astype(np.int64) for c in ("of", "first", "n"))
+    keeper = np.frombuffer(row["keeper"], np.int64)
+    segment, place = decoded(row["segment"], np.uint32), decoded(row["doc"], np.uint32)
+    start = decoded(row["start"], np.uint32)
+    ids, hashes = decoded(row["doc_ids"], np.int64), np.frombuffer(row["text_hashes"], np.int64)
+    for at in range(0, len(segment), OCCURRENCES):
+        part = slice(at, at + OCCURRENCES)
+        low, high = np.searchsorted(of, segment[part]), np.searchsorted(of, segment[part], "right")
+        doc = ids[place[part]]
+        row_of = np.repeat(np.arange(len(low)), high - low)
+        run = low[row_of] + np.arange(len(row_of)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+        gone = keeper[run] < doc[row_of]
+        row_of, run = row_of[gone], run[gone]
+        if not len(run):
+            continue
+        ends = first[run] + n[run]
+        begins = np.flatnonzero(np.concatenate(([True], (row_of[1:] != row_of[:-1]) | (first[run][1:] != ends[:-1]))))
+        last = np.append(begins[1:], len(run)) - 1
+        own = row_of[begins]
+        from_ = start[part][own].astype(np.int64)
+        yield doc[own], hashes[place[part][own]], from_ + first[run[begins]], from_ + ends[last] + LENGTH - 1
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """Byte ranges that go: doc_id (NO_ID for null), text_hash, start, end; they may overlap."""
     spark, shards = docs.sparkSession, _shards(docs)
     sent = send_segments(docs, shards, shared_keys(docs, shards))
+    waiting = HOLDERS[2:]
+    told = ", ".join(["pack bigint, shard int, of binary, first binary, n binary, keeper binary", *(f"{c} binary" for c in waiting)])
+    told_kind = arrow_schema(spark, told)
     schema = "doc_id bigint, text_hash bigint, start int, end int"
     kind = arrow_schema(spark, schema)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in by_shard(batches):
-            found = Shard(rows).removed()
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(found, kind)], schema=kind)
-
-    return _dealt(spark, sent).mapInArrow(sort, schema)
+        number, shard = None, Shard()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["keys"] is None:
+                    yield pa.RecordBatch.from_pylist([{c: row.get(c) for c in told_kind.names}], schema=told_kind)
+                    continue
+                if row["shard"] != number and number is not None:
+                    yield from tell(number, shard)
+                    shard = Shard()
+                number = row["shard"]
+                shard.add(row)
+        if number is not None:
+            yield from tell(number, shard)
+
+    def tell(number: int, shard: Shard) -> Iterator[pa.RecordBatch]:
+        for pack, *runs in shard.runs():
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((pack, number, *runs, *[None] * len(waiting)), told_kind)], schema=told_kind)
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                for found in removed(batch.slice(i, 1).to_pylist()[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(found, kind)], schema=kind)
+
+    # Both kinds of rows go through one exchange, so that each task's packs are made once.
+    found = materialize(_dealt(spark, sent, "route").mapInArrow(sort, told), "keepers")
+    runs = found.filter("of IS NOT NULL").select("pack", "shard", "of", "first", "n", "keeper")
+    # A pack and shard stand once on either side, so no key is hot here.
+    holders = found.filter("segment IS NOT NULL").select(*HOLDERS)
+    return holders.join(runs, ["pack", "shard"]).mapInArrow(expand, schema)
 
 
 def kept_bytes(raw: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:

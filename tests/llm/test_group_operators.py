@@ -162,6 +162,22 @@ def test_repeated_bytes(spark, seed):
     assert Counter(map(tuple, substrings.remove_repeats(docs).drop("kept").collect())) == want
 
 
+def test_shards_do_not_get_every_occurrence(spark):
+    """What is dealt to the shards does not grow with the documents that share a passage, and all but one lose it."""
+    passage = "".join(random.Random(8).choice("abcdefgh ") for _ in range(400))
+
+    def docs(n):
+        return spark.createDataFrame([(i, passage) for i in range(n)], "doc_id bigint, text string").coalesce(1)
+
+    def dealt(n):
+        found = substrings.send_segments(docs(n), 64, substrings.shared_keys(docs(n), 64)).select(*substrings.SEGMENTS)
+        return sum(len(v) for r in found.collect() for v in r if isinstance(v, (bytes, bytearray)))
+
+    assert dealt(20) == dealt(2000) > 0
+    lost = substrings.remove_repeats(docs(2000)).groupBy("n_removed", "n_spans").count().collect()
+    assert sorted(tuple(r) for r in lost) == [(0, 0, 1), (400, 1, 1999)]
+
+
 def test_suffix_order():
     draw = random.Random(4)
     for _ in range(600):
