@@ -132,7 +132,8 @@ def _iban_holds(number: str) -> bool:
 
 
 def votes(text: str, span: Span) -> tuple[int, ...]:
-    """Votes of the labelers, 1 for, -1 against, 0 abstaining: pattern, checksum, gazetteer, edges, words around."""
+    """Votes of the labelers, 1 for, -1 against, 0 abstaining: pattern, checksum, gazetteer, edges, words around.
+    A gazetteer abstains on what it does not list."""
     kind, found = span.kind, text[span.start : span.end]
     before, digits = text[max(0, span.start - CONTEXT) : span.start], _digits(found)
     pattern = checksum = gazetteer = 0
@@ -140,13 +141,13 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
         spelled = re.sub(r" ?[\[({]dot[\])}] ?", ".", _OBFUSCATED.sub("@", found))
         name, _, domain = spelled.partition("@")
         pattern = 1 if name and _DOMAIN.fullmatch(domain) else -1
-        gazetteer = 1 if domain.rpartition(".")[2].lower() in _TOP_LEVEL else -1
+        gazetteer = 1 if domain.rpartition(".")[2].lower() in _TOP_LEVEL else 0
     elif kind == "ip":
         pattern, checksum = 1, 1 if small_parts(found) else -1
         gazetteer = -1 if found.startswith("0.") else 0
     elif kind == "card":
         pattern, checksum = (1 if 14 <= len(digits) <= 19 else -1), (1 if luhn(digits) else -1)
-        gazetteer = 1 if digits[0] in "3456" else -1
+        gazetteer = 1 if digits[0] in "3456" else 0
     elif kind == "phone":
         pattern = 1 if found[0] == "+" else 0
         checksum = 1 if 10 <= len(digits) <= 15 else -1
@@ -156,11 +157,12 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
     elif kind == "iban":
         number = found.replace(" ", "")
         pattern = 1 if 15 <= len(number) <= 34 else -1
-        checksum = 1 if _iban_holds(number) else -1
-        gazetteer = 1 if _IBAN_LENGTH.get(number[:2]) == len(number) else -1
+        listed = _IBAN_LENGTH.get(number[:2])
+        checksum = 1 if pattern > 0 and listed in (None, len(number)) and _iban_holds(number) else -1
+        gazetteer = 1 if listed == len(number) else 0
     else:
         words = found.split()
-        pattern, gazetteer = (1 if len(words) > 2 else 0), (1 if words[1] in _GIVEN else -1)
+        pattern, gazetteer = (1 if len(words) > 2 else 0), (1 if words[1] in _GIVEN else 0)
     left, right = text[span.start - 1 : span.start], text[span.end : span.end + 1]
     edges = -1 if left.isalnum() or right.isalnum() or left in "-_/=#" and left or right in "-_/=@" and right else 1
     around = 1 if _FOR[kind].search(before) else -1 if _AGAINST.search(before) else 0
@@ -188,6 +190,11 @@ def pattern_of(text: str, span: Span) -> str:
     return span.kind + "".join("-0+"[v + 1] for v in votes(text, span))
 
 
+def ruled_out(pattern: str) -> bool:
+    """A failed checksum, or words before it that speak for a plain number, which the classifier cannot outvote."""
+    return pattern[CHECKSUM - LABELERS] == "-" or pattern[AROUND - LABELERS] == "-"
+
+
 def in_order(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
@@ -257,16 +264,17 @@ def trained(rows: list[tuple[str, int]]) -> dict[str, float]:
     return sure
 
 
-LABELERS = 5
+# Votes of a pattern, and the places of two of them.
+LABELERS, CHECKSUM, AROUND = 5, 1, 4
 
 
 def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """Spans of personal data in every whole text, a row for each row.
 
     Columns: doc_id, n_email, n_ip, n_card, n_phone (certain spans), base_sha256, spans, found (the spans as
-    structs). A candidate of the wider patterns is added if the classifier is at least `sure`, no labeler votes
-    against it, and it overlaps no certain span and no candidate that was added to its left. A null or empty text has no spans; repeated rows and null ids are
-    scanned like any other; other columns are not looked at; an empty table gives an empty result.
+    structs). A candidate of the wider patterns is added if the classifier is at least `sure`, it is not `ruled_out`,
+    and it overlaps no certain span and no candidate that was added to its left. A null or empty text has no spans;
+    repeated rows and null ids are scanned like any other; other columns are not looked at; an empty table gives an empty result.
     """
     span = "struct<kind: string, start: int, end: int>"
 
@@ -290,7 +298,7 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
             made: dict = {f.name: [] for f in kind}
             for row in batch.to_pylist():
                 base = [Span(**s) for s in row["base"]]
-                likely = [Span(**c["span"]) for c in row["candidates"] if c["open"] and chance[c["pattern"]] >= sure and "-" not in c["pattern"]]
+                likely = [Span(**c["span"]) for c in row["candidates"] if c["open"] and chance[c["pattern"]] >= sure and not ruled_out(c["pattern"])]
                 spans = added(base, likely)
                 made["doc_id"].append(row["doc_id"])
                 for name in KINDS[:4]:

@@ -74,6 +74,20 @@ def test_personal_data(spark):
     assert "card" not in next(r for r in found if r["doc_id"] == 1)["spans"]
 
 
+def test_personal_data_that_no_gazetteer_lists(spark):
+    private = [
+        ("Account SE4550000000058398257466 holds it", "iban:8:32"),
+        ("Account SE4550000000058398257467 fails it", ""),
+        ("Account DE8937040044053201300 is too short", ""),
+        ("contact bob[at]example[dot]museum now", "email:8:33"),
+        ("Dear Mr Smith, hello", "name:5:13"),
+    ]
+    known = [(i, t) for i, t in enumerate(PRIVATE * 6)]
+    rows = known + [(1000 + i, t) for i, (t, _) in enumerate(private)]
+    found = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [found[1000 + i] for i in range(len(private))] == [spans for _, spans in private]
+
+
 def test_label_model_finds_the_reliable_labelers():
     draw = np.random.default_rng(1)
     truth = draw.random(4000) < 0.3
