@@ -45,7 +45,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next from U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in plain]
@@ -58,7 +58,7 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        letters, model = _byte_letters(), content["model"]
+        letters, model = byte_letters(), content["model"]
         raw = {token: bytes(letters[c] for c in token) for token in model["vocab"]}
         known = {i: raw[token] for token, i in model["vocab"].items()}
         self.first = [0] * 256

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontaminate, licences, lines, pii, quality, sharding, simhash, substrings, toxicity
+from marquee.llm import bpe, decontaminate, licences, lines, packing, pii, quality, sharding, simhash, substrings, toxicity
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(read_table(spark, folder, "documents")).drop("kept")
+
+
+@_query
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_table(spark, folder, "documents"), keep_ids=False)
