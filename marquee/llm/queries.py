@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.llm import bpe, decontaminate, licences, lines, packing, pii, quality, sharding, simhash, substrings, toxicity
+from marquee.llm import bpe, decontaminate, licences, lines, negatives, packing, pii, quality, sharding, simhash, substrings, toxicity
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-# None of these results can be told in SQL; tests hold them against brute force, round trips or held-out rows.
+# Where a result cannot be told in SQL, tests hold it against brute force, round trips or held-out rows.
 SQL: dict[str, str] = {}
 
 
@@ -72,3 +73,33 @@ def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"), keep_ids=False)
+
+
+@_query
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_negatives"] = """
+with whole as (
+  select row_number() over () as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda c: floor(256 * cast(c as double))) as x
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+scored as (
+  select a.row as anchor, a.vec_id as anchor_id, b.vec_id as other_id, b.row as other, a.label = b.label as same,
+         cast(list_inner_product(a.x, b.x) as bigint) as score
+  from whole a join whole b on a.row <> b.row where a.vec_id % 50 = 0),
+positives as (
+  select anchor, anchor_id, other_id as positive_id, other as positive, score as positive_score
+  from scored where same
+  qualify row_number() over (partition by anchor order by score desc, other_id, other) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor, p.positive order by s.score desc, s.other_id) as integer) as rank,
+       s.other_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor = p.anchor
+where not s.same and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
+qualify rank <= 3"""
