@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, decontaminate, licences, lines, negatives, packing, pii, quality, sharding, simhash, substrings, toxicity
+from marquee.llm import bpe, decontaminate, licences, lines, negatives, packing, pii, quality, sharding, simhash, substrings, toxicity, whitening
 from marquee.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ select p.anchor_id, p.positive_id,
 from positives p join scored s on s.anchor = p.anchor
 where not s.same and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
 qualify rank <= 3"""
+
+
+@_query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
