@@ -2,8 +2,10 @@
 
 Floating sums depend on the order in which partial results meet. Measures are
 therefore summed as decimals that hold twelve places of every double, which is
-associative, and only the final quotient is rounded, half up, by long division.
-Comparisons of single values stay on the raw doubles.
+associative, and only the final quotient is rounded, half up. A quotient of two
+doubles already tells which way to round, unless it is so near to a half that
+its last digits matter: only there are the decimals divided. Comparisons of
+single values stay on the raw doubles.
 """
 
 from __future__ import annotations
@@ -31,28 +33,37 @@ def unfixed(exact: Column | str) -> Column:
     return _col(exact).cast("double")
 
 
-def _half_up(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
-    """numerator * 10**shift / denominator, rounded half up to whole units, as units of 10**-digits.
+# Bounds the relative error of a quotient of doubles cast from decimals, and of that times a power of ten.
+DOUBT = 1e-15
+
 
-    Long division, three digits at a time: remainders are below the divisor, so no step outgrows a decimal. A
-    quotient that would outgrow a bigint is divided as a decimal, which is wide enough for a double's digits.
+def _half_up(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
+    """numerator * 10**shift / denominator, rounded half up to whole units, as units of 10**-digits."""
+    below = F.nullif(denominator.cast("double"), F.lit(0.0))
+    quotient = numerator.cast("double") / below * float(10**shift)
+    size = F.abs(quotient)
+    whole = F.floor(size)
+    part = size - whole
+    clear = (size < 1e14) & (F.abs(part - 0.5) > size * DOUBT)
+    units = whole + F.when(part > 0.5, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    signed = F.when(quotient < 0, -units).otherwise(units) / F.lit(float(10**digits))
+    return F.when(below.isNotNull(), F.when(clear, signed).otherwise(_divided(numerator, denominator, shift, digits)))
+
+
+def _divided(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
+    """The same by exact division: whole units first, then those of the remainder, which the divisor bounds.
+
+    Where a divisor or quotient is too wide for that, a double has no digits left to tell a half by.
     """
-    places = shift
     top, bottom = numerator.cast(SUMMED), F.nullif(denominator.cast(EXACT), F.lit(0).cast(EXACT))
     size, step = F.abs(top), F.abs(bottom)
-    fits = size.cast("double") / step.cast("double") < 9e18 / 10**shift
-    size = F.when(fits, size)
-    units, rest = F.call_function("div", size, step), (size % step).cast(EXACT)
-    while shift > 0:
-        some = min(3, shift)
-        wide = (rest * F.lit(Decimal(10**some))).cast(SUMMED)
-        units = units * F.lit(10**some).cast("bigint") + F.call_function("div", wide, step)
-        rest = (wide % step).cast(EXACT)
-        shift -= some
-    units = units + F.when(rest * F.lit(Decimal(2)) >= step, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    fits = (step.cast("double") < 9e15) & (size.cast("double") / step.cast("double") < 9e18 / 10**shift)
+    rest = F.when(fits, size % step).cast(f"decimal(28,{PLACES})") * F.lit(Decimal(10**shift))
+    units = F.call_function("div", F.when(fits, size), step) * F.lit(10**shift).cast("bigint") + F.call_function("div", rest, step)
+    units = units + F.when((rest % step) * F.lit(Decimal(2)) >= step, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
     signed = F.when((top < 0) != (bottom < 0), -units).otherwise(units) / F.lit(float(10**digits))
-    plain = (F.round(F.try_divide(top, bottom), places) * F.lit(10 ** (places - digits))).cast("double")
-    return F.when(bottom.isNull(), F.lit(None).cast("double")).when(fits, signed).otherwise(plain)
+    plain = (F.round(F.try_divide(top, bottom), shift) * F.lit(10 ** (shift - digits))).cast("double")
+    return F.when(fits, signed).otherwise(plain)
 
 
 def ratio(numerator: Column | str, denominator: Column | str, digits: int) -> Column:
