@@ -20,6 +20,14 @@ def with_defaults(batch: DataFrame, table: str) -> DataFrame:
     return batch.select(*filled)
 
 
+def dependents(table: str) -> list[tuple[str, str, str, str]]:
+    """References to a table: (table that refers, its column, column referred to, what a delete does to it).
+
+    Those a delete carries along come before those it empties, so that no row is emptied only to be removed."""
+    found = [(child, column, parent_column, action) for child, column, parent, parent_column, action in FOREIGN_KEYS if parent == table]
+    return sorted(found, key=lambda f: f[3] != "cascade")
+
+
 def _is_null(names: list[str]) -> Column:
     return F.concat_ws(", ", *[F.when(F.col(n).isNull(), F.lit(f"no {n}")) for n in names])
 

@@ -49,11 +49,15 @@ def replace_by_key(target: DataFrame, batch: DataFrame, key: list[str]) -> DataF
     return kept.unionByName(batch.select(*target.columns))
 
 
-def insert_absent(target: DataFrame, batch: DataFrame, key: list[str], order_by: list[Column] | None = None) -> DataFrame:
-    """Add batch rows whose key is new; existing rows stay. Of a repeated key the first row in order is added."""
+def absent(target: DataFrame, batch: DataFrame, key: list[str], order_by: list[Column] | None = None) -> DataFrame:
+    """Batch rows whose key the target lacks; of a repeated key the first row in order."""
     first = deduplicate(batch.select(*target.columns), key, order_by or [], keep="first")
-    fresh = first.join(target.select(*key), key, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return first.join(target.select(*key), key, "left_anti").select(*target.columns)
+
+
+def insert_absent(target: DataFrame, batch: DataFrame, key: list[str], order_by: list[Column] | None = None) -> DataFrame:
+    """Target with the batch rows whose key is new; existing rows stay."""
+    return target.unionByName(absent(target, batch, key, order_by))
 
 
 def delete_cascade(dependent: DataFrame, column: str, deleted: DataFrame, parent_column: str) -> DataFrame:

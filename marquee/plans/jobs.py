@@ -194,7 +194,7 @@ def upsert_movies(warehouse: Warehouse, rows: DataFrame) -> int:
     """Every column but the language is updated, and the time of the merge is stamped."""
     stamp = {"updated_at": F.current_timestamp()}
     key = STAR_KEYS["dim_movies"]
-    return warehouse.merge(
+    return warehouse.merge_checked(
         "dim_movies", rows, lambda old, new: merge.upsert(old, new, key, ["original_language"], stamp)
     )
 
@@ -202,28 +202,31 @@ def upsert_movies(warehouse: Warehouse, rows: DataFrame) -> int:
 def upsert_people(warehouse: Warehouse, rows: DataFrame) -> int:
     stamp = {"updated_at": F.current_timestamp()}
     key = STAR_KEYS["dim_people"]
-    return warehouse.merge(
+    return warehouse.merge_checked(
         "dim_people", rows, lambda old, new: merge.upsert(old, new, key, ["known_for_department"], stamp)
     )
 
 
 def upsert_genres(warehouse: Warehouse, rows: DataFrame) -> int:
     key = STAR_KEYS["dim_genres"]
-    return warehouse.merge("dim_genres", rows, lambda old, new: merge.upsert(old, new, key))
+    return warehouse.merge_checked("dim_genres", rows, lambda old, new: merge.upsert(old, new, key))
 
 
 def link(warehouse: Warehouse, bridge: str, rows: DataFrame) -> int:
-    """Add links that do not exist yet; of a repeated one the first billing counts."""
-    key = STAR_KEYS[bridge]
-    order = [F.col("cast_order")] if bridge == "bridge_movie_cast" else []
-    return warehouse.merge(bridge, rows, lambda old, new: merge.insert_absent(old, new, key, order), unique=False)
+    """Add links that do not exist yet, and return their number; of a repeated one the first billing counts."""
+    return warehouse.append_checked(bridge, rows, [F.col("cast_order")] if bridge == "bridge_movie_cast" else [])
+
+
+def retire(warehouse: Warehouse, table: str, keys: DataFrame) -> dict[str, int]:
+    """Remove titles, people or genres that the source withdrew, with all that refers to them."""
+    return warehouse.delete(table, keys)
 
 
 def upsert_facts(warehouse: Warehouse, rows: DataFrame) -> int:
     """Facts by title, day and type; absent measures default to 0."""
     filled = rows.na.fill(0, ["position_change", "popularity", "vote_average", "vote_count"])
     key = STAR_KEYS["fact_daily_trends"]
-    return warehouse.merge("fact_daily_trends", filled, lambda old, new: merge.upsert(old, new, key))
+    return warehouse.merge_checked("fact_daily_trends", filled, lambda old, new: merge.upsert(old, new, key))
 
 
 def daily_facts(feeds: dict[str, DataFrame], previous: DataFrame, day: dt.date) -> DataFrame:
@@ -295,7 +298,7 @@ def weekly_refresh(warehouse: Warehouse, today: dt.date) -> int:
     weekly = rollups.week_over_week(rollups.weekly_summary(facts))
     fresh = weekly.filter(F.col("week_start") >= F.lit(str(first)).cast("date"))
     key = STAR_KEYS["agg_weekly_summary"]
-    return warehouse.merge("agg_weekly_summary", fresh, lambda old, new: merge.replace_by_key(old, new, key))
+    return warehouse.merge_checked("agg_weekly_summary", fresh, lambda old, new: merge.replace_by_key(old, new, key))
 
 
 def monthly_refresh(warehouse: Warehouse, today: dt.date) -> int:
@@ -303,7 +306,7 @@ def monthly_refresh(warehouse: Warehouse, today: dt.date) -> int:
     facts = serving.last_month(warehouse.read("fact_daily_trends"), F.lit(str(today)).cast("date"))
     stats = rollups.monthly_genres(facts, warehouse.read("bridge_movie_genres"), warehouse.read("dim_movies"))
     key = STAR_KEYS["agg_monthly_genres"]
-    return warehouse.merge("agg_monthly_genres", stats, lambda old, new: merge.replace_by_key(old, new, key))
+    return warehouse.merge_checked("agg_monthly_genres", stats, lambda old, new: merge.replace_by_key(old, new, key))
 
 
 def enrich(warehouse: Warehouse, details: DataFrame, image_base: str, billed: int) -> dict:
