@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.contracts import STAR_KEYS
 from marquee.operators import integrity, merge, quality, rollups, trends
 from marquee.plans import jobs, model
 from marquee.plans.model import Tables
@@ -200,15 +202,24 @@ def upserted_facts_keeping_votes(t: Tables) -> DataFrame:
     case when release_date >= date '1995-01-15' then timestamp '2026-06-29 08:00:00' end as updated_at from movies""",
 )
 def upserted_movies(t: Tables) -> DataFrame:
-    """Re-sent titles change all but their language and carry the time of the merge."""
+    """Re-sent titles change all but their language and carry the time of the merge; other buckets stay as they are."""
     movies = model.movies(t).select("movie_id", "original_language", "title", "revenue", "release_date")
-    target = movies.drop("release_date").withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
     sent = movies.filter(F.col("release_date") >= F.lit("1995-01-15").cast("date")).drop("release_date")
     sent = sent.withColumns(
         {"title": F.upper("title"), "revenue": F.col("revenue") + 1, "original_language": F.lit("changed")}
     )
-    stamp = {"updated_at": F.lit("2026-06-29 08:00:00").cast("timestamp_ntz")}
-    return merge.upsert(target, sent, ["movie_id"], keep=["original_language"], stamp=stamp)
+    stamp = {"updated_at": F.lit("2026-06-29 08:00:00").cast("timestamp")}
+    merged = _merged_twice(t, "dim_movies", movies.drop("release_date"), sent, ["original_language"], stamp)
+    columns = ["movie_id", "original_language", "title", "revenue"]
+    return merged.select(*columns, F.col("updated_at").cast("timestamp_ntz").alias("updated_at"))
+
+
+def _merged_twice(t: Tables, name: str, known: DataFrame, sent: DataFrame, keep: list[str], stamp: dict | None = None) -> DataFrame:
+    """A dimension of the warehouse after a first load and a batch."""
+    warehouse, key = Warehouse(t.spark, fresh_path(t.spark, "warehouse"), {name: 4}), STAR_KEYS[name]
+    warehouse.merge_checked(name, known, lambda old, new: merge.upsert(old, new, key))
+    warehouse.merge_checked(name, sent, lambda old, new: merge.upsert(old, new, key, keep, stamp))
+    return warehouse.read(name)
 
 
 @query(
@@ -218,7 +229,7 @@ def upserted_movies(t: Tables) -> DataFrame:
 def upserted_genres(t: Tables) -> DataFrame:
     genres = model.genres(t)
     sent = genres.filter(F.col("name") < "h").withColumn("name", F.upper("name"))
-    return merge.upsert(genres, sent, ["genre_id"])
+    return _merged_twice(t, "dim_genres", genres, sent, [])
 
 
 @query(
@@ -238,7 +249,8 @@ def upserted_people(t: Tables) -> DataFrame:
             "known_for_department": F.lit("Directing"),
         }
     )
-    return merge.upsert(known, sent, ["person_id"], keep=["known_for_department"])
+    merged = _merged_twice(t, "dim_people", known, sent, ["known_for_department"])
+    return merged.select("person_id", "name", "known_for_department", "popularity")
 
 
 @query(
@@ -310,6 +322,83 @@ def references_after_delete(t: Tables) -> DataFrame:
     return merge.set_null(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", gone, "c_custkey")
 
 
+# --- the star schema as a whole: loads that are refused, links that are appended, deletes that carry references ---
+
+
+def _star(t: Tables) -> Warehouse:
+    """Titles, genres and the links of titles whose price is even, loaded by the jobs."""
+    warehouse = Warehouse(t.spark, fresh_path(t.spark, "warehouse"), {n: 4 for n in ("dim_movies", "bridge_movie_genres")})
+    jobs.upsert_movies(warehouse, model.titles(t))
+    jobs.upsert_genres(warehouse, model.genres(t))
+    jobs.link(warehouse, "bridge_movie_genres", model.bridge(t).filter(F.col("movie_id") % 2 == 0))
+    return warehouse
+
+
+def _charted_titles(t: Tables) -> DataFrame:
+    """Facts of the chart's titles that the dimension has."""
+    known = t.part.select(F.col("p_partkey").alias("movie_id"))
+    return _facts(t).join(known, "movie_id", "left_semi")
+
+
+def _facts(t: Tables) -> DataFrame:
+    rows = model.chart(t).withColumns({"position": F.dayofmonth("date"), "position_change": F.lit(0)})
+    return rows.withColumn("vote_count", F.col("vote_count").cast("int"))
+
+
+@query("M8 M9", f"with {WORDS} select movie_id, genre_id from bridge")
+def appended_links(t: Tables) -> DataFrame:
+    """Half of the links exist; all are sent, twice, and only the other half is written."""
+    warehouse = _star(t)
+    for _ in range(2):
+        jobs.link(warehouse, "bridge_movie_genres", model.bridge(t))
+    return warehouse.read("bridge_movie_genres")
+
+
+@query(
+    "J15 Q1 M5",
+    f"""with {CHART} select date, count(*) as facts, 'unknown movie_id' as refused
+    from chart where movie_id in (select p_partkey from part) group by date""",
+)
+def refused_load(t: Tables) -> DataFrame:
+    """Facts of known titles are loaded; a batch that re-sends them with one title that nobody knows changes nothing."""
+    warehouse, facts = _star(t), _charted_titles(t)
+    jobs.upsert_facts(warehouse, facts)
+    unknown = F.when(F.col("movie_id") == facts.agg(F.min("movie_id")).scalar(), -1).otherwise(F.col("movie_id"))
+    try:
+        jobs.upsert_facts(warehouse, facts.withColumns({"movie_id": unknown, "popularity": F.lit(0.0)}))
+        refused = ""
+    except quality.QualityError as problem:
+        refused = str(problem).split(": ")[1].split(",")[0]
+    loaded = warehouse.read("fact_daily_trends")
+    return loaded.groupBy("date").agg(F.count("*").alias("facts")).withColumn("refused", F.lit(refused))
+
+
+@query(
+    "M11 J15",
+    f"""with {CHART}, {WORDS}, stays as (select p_partkey as movie_id from part where p_size <= 40),
+    top as (select genre_id, max(movie_id) as movie_id from bridge group by 1)
+    select 'dim_movies' as "table", count(*) as "rows", 0 as emptied from stays
+    union all select 'bridge_movie_genres', count(*), 0 from bridge semi join stays using (movie_id) where movie_id % 2 = 0
+    union all select 'fact_daily_trends', count(*), 0 from chart semi join stays using (movie_id)
+    union all select 'agg_monthly_genres', count(*), cast(count(*) filter (movie_id not in (select movie_id from stays)) as integer) from top""",
+)
+def star_after_delete(t: Tables) -> DataFrame:
+    """Large titles are withdrawn: their links and facts go, months they led lose their leader and stay."""
+    warehouse = _star(t)
+    jobs.upsert_facts(warehouse, _charted_titles(t))
+    leaders = model.bridge(t).groupBy("genre_id").agg(F.max("movie_id").alias("top_movie_id"))
+    leaders = leaders.withColumn("month", F.lit("2024-01-01").cast("date"))
+    key = STAR_KEYS["agg_monthly_genres"]
+    warehouse.merge_checked("agg_monthly_genres", leaders, lambda old, new: merge.replace_by_key(old, new, key))
+    jobs.retire(warehouse, "dim_movies", t.part.filter(F.col("p_size") > 40).select(F.col("p_partkey").alias("movie_id")))
+    counts = []
+    for name in ("dim_movies", "bridge_movie_genres", "fact_daily_trends", "agg_monthly_genres"):
+        table = warehouse.read(name)
+        emptied = F.count_if(F.col("top_movie_id").isNull()) if "top_movie_id" in table.columns else F.lit(0).cast("bigint")
+        counts.append(table.agg(F.lit(name).alias("table"), F.count("*").alias("rows"), emptied.cast("int").alias("emptied")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- tables written to the shared folder and read back ---
 
 _FEED = "trending_movies"
