@@ -35,35 +35,28 @@ def unfixed(exact: Column | str) -> Column:
 
 # Bounds the relative error of a quotient of doubles cast from decimals, and of that times a power of ten.
 DOUBT = 1e-15
+# Quotients from here on leave a double no digits to round.
+WIDE = 1e14
 
 
 def _half_up(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
-    """numerator * 10**shift / denominator, rounded half up to whole units, as units of 10**-digits."""
+    """numerator * 10**shift / denominator, rounded half up to whole units, as units of 10**-digits.
+
+    Near a half, the double's whole part is right, and the remainder of an exact division tells on which side of the
+    half the quotient is. Divisors may have 16 digits before the point there. The expression is kept short, as a
+    method of many thousand bytecodes is not compiled.
+    """
     below = F.nullif(denominator.cast("double"), F.lit(0.0))
     quotient = numerator.cast("double") / below * float(10**shift)
     size = F.abs(quotient)
     whole = F.floor(size)
     part = size - whole
-    clear = (size < 1e14) & (F.abs(part - 0.5) > size * DOUBT)
-    units = whole + F.when(part > 0.5, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    signed = F.when(quotient < 0, -units).otherwise(units) / F.lit(float(10**digits))
-    return F.when(below.isNotNull(), F.when(clear, signed).otherwise(_divided(numerator, denominator, shift, digits)))
-
-
-def _divided(numerator: Column, denominator: Column, shift: int, digits: int) -> Column:
-    """The same by exact division: whole units first, then those of the remainder, which the divisor bounds.
-
-    Where a divisor or quotient is too wide for that, a double has no digits left to tell a half by.
-    """
-    top, bottom = numerator.cast(SUMMED), F.nullif(denominator.cast(EXACT), F.lit(0).cast(EXACT))
-    size, step = F.abs(top), F.abs(bottom)
-    fits = (step.cast("double") < 9e15) & (size.cast("double") / step.cast("double") < 9e18 / 10**shift)
-    rest = F.when(fits, size % step).cast(f"decimal(28,{PLACES})") * F.lit(Decimal(10**shift))
-    units = F.call_function("div", F.when(fits, size), step) * F.lit(10**shift).cast("bigint") + F.call_function("div", rest, step)
-    units = units + F.when((rest % step) * F.lit(Decimal(2)) >= step, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    signed = F.when((top < 0) != (bottom < 0), -units).otherwise(units) / F.lit(float(10**digits))
-    plain = (F.round(F.try_divide(top, bottom), shift) * F.lit(10 ** (shift - digits))).cast("double")
-    return F.when(fits, signed).otherwise(plain)
+    step = F.abs(F.nullif(denominator.cast(EXACT), F.lit(0).cast(EXACT)))
+    rest = (F.abs(numerator.cast(SUMMED)) % step).try_cast(f"decimal(28,{PLACES})") * F.lit(Decimal(10**shift))
+    up = F.when(F.abs(part - 0.5) > size * DOUBT, part > 0.5).otherwise((rest % step) * F.lit(Decimal(2)) >= step)
+    units = F.when(size >= WIDE, size).otherwise((whole + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast("double"))
+    # Units of zero have no sign.
+    return F.when(quotient < 0, F.lit(0.0) - units).otherwise(units) / float(10**digits)
 
 
 def ratio(numerator: Column | str, denominator: Column | str, digits: int) -> Column:

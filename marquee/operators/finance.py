@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions.exact import fixed, mean, percent, ratio
 from marquee.operators.keys import deduplicate
-from marquee.operators.ranking import group_rank, moving_rows
+from marquee.operators.ranking import group_rank, moving_rows, value_ranks, with_ranks
+from marquee.session import materialize
 
 ROLLING_TITLES = 10
 
@@ -47,17 +48,24 @@ def latest_per_title(df: DataFrame, title: list[str], day: str = "extraction_dat
     return deduplicate(df, title, [F.col(day)])
 
 
-def roi_ranked(df: DataFrame) -> DataFrame:
-    """One row per title and genre with its return and its rank in the genre."""
+RANKING = [("roi", "desc")]
+
+
+def priced_by_genre(df: DataFrame) -> DataFrame:
+    """One row per title and genre with its return and margin, titles without finances left out."""
     known = has_finances(with_missing_money(df))
     priced = known.withColumns({"roi": roi_ratio(), "profit_margin_pct": profit_margin_pct()})
-    by_genre = priced.withColumn("genre", F.explode_outer("genres"))
-    return group_rank(by_genre, ["genre"], [("roi", "desc")], "rank", "roi_genre_rank")
+    return priced.withColumn("genre", F.explode_outer("genres"))
 
 
-def rolling_roi(ranked: DataFrame) -> DataFrame:
+def roi_ranked(df: DataFrame) -> DataFrame:
+    """One row per title and genre with its return and its rank in the genre."""
+    return group_rank(priced_by_genre(df), ["genre"], RANKING, "rank", "roi_genre_rank")
+
+
+def rolling_roi(priced: DataFrame) -> DataFrame:
     """Average return over the last 10 releases of the genre, ids breaking equal dates."""
-    units = ranked.withColumn("_roi", fixed("roi"))
+    units = priced.withColumn("_roi", fixed("roi"))
     moved = moving_rows(
         units,
         ["genre"],
@@ -70,6 +78,12 @@ def rolling_roi(ranked: DataFrame) -> DataFrame:
 
 
 def roi_analysis(df: DataFrame, title: list[str] | None = None, day: str | None = "extraction_date") -> DataFrame:
-    """Latest row of each title, ranked by return and smoothed per genre."""
+    """Latest row of each title, ranked by return and smoothed per genre.
+
+    Ranks and releases are counted from one table that is written once: deduplication, prices and genres are not made
+    again for each of them.
+    """
     newest = latest_per_title(df, title or ["id"], day) if day else df
-    return rolling_roi(roi_ranked(newest))
+    priced = materialize(priced_by_genre(newest), "priced")
+    ranks = value_ranks(priced, ["genre"], RANKING, "rank")
+    return with_ranks(rolling_roi(priced), ranks, ["genre"], RANKING, "roi_genre_rank")

@@ -65,6 +65,12 @@ def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str,
     if kind == "row_number":
         numbered = _numbered(df, by, order, out)
         return numbered if top is None else numbered.filter(F.col(out) <= top)
+    ranks = value_ranks(df, by, order, kind, top)
+    return with_ranks(df, ranks, by, order, out)
+
+
+def value_ranks(df: DataFrame, by: list[str], order: Order, kind: str, top: int | None = None) -> DataFrame:
+    """The rank of every value within `by`: one row for each, however many rows share it."""
     names = [name for name, _ in order]
     # Key columns as one struct: never null itself, so rows with null keys join by plain equality.
     values = df.groupBy(F.struct(*by).alias("_group"), F.struct(*names).alias("_value")).agg(F.count("*").alias("_rows"))
@@ -78,10 +84,13 @@ def group_rank(df: DataFrame, by: list[str], order: Order, kind: str, out: str,
     one = placed.withColumn("_values", F.lit(1).cast("bigint"))
     ranked = _started(one, ["_group", "_at"], _sorting(order), counted, "_inside")
     ranks = ranked.select("_group", "_value", (F.col("_start") + F.col("_inside") + 1).alias("_rank"))
-    if top is not None:
-        # Cut before the rows are met again: only those of leading values are kept, however many share one.
-        ranks = ranks.filter(F.col("_rank") <= top)
-    keyed = df.withColumns({"_group": F.struct(*by), "_value": F.struct(*names)})
+    # Cut before the rows are met again: only those of leading values are kept, however many share one.
+    return ranks if top is None else ranks.filter(F.col("_rank") <= top)
+
+
+def with_ranks(df: DataFrame, ranks: DataFrame, by: list[str], order: Order, out: str) -> DataFrame:
+    """Rows with the rank of their value; rows whose value has none are left out."""
+    keyed = df.withColumns({"_group": F.struct(*by), "_value": F.struct(*[name for name, _ in order])})
     return keyed.join(ranks, ["_group", "_value"]).select(*df.columns, F.col("_rank").alias(out))
 
 
