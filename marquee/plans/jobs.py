@@ -24,7 +24,6 @@ from marquee.functions.labels import image_url
 from marquee.functions.lenient import blank_to_null, first_text, lenient_date, number_or_zero
 from marquee.operators import clean, finance, merge, quality, rollups, serving, trends
 from marquee.operators.keys import deduplicate
-from marquee.session import materialize
 from marquee.sources import export, jdbc, landing, layers
 from marquee.sources.warehouse import Warehouse
 
@@ -108,13 +107,8 @@ def silver_to_gold(spark: SparkSession, base: str, since: dt.date | None = None)
         tables |= gold_since(content, layers.read_layer(spark, f"{base}/gold/gold_daily_trends"), since)
 
     def build(name: str) -> dict:
-        partial = since is not None and GOLD_PARTITIONS[name]
-        if not partial:
-            return {"rows_written": layers.overwrite_gold(tables[name], f"{base}/gold/{name}", name)}
-        # The daily mart is read while its new days are computed: settle them before they replace the old ones.
-        fresh = materialize(tables[name], name)
-        path, partitions = f"{base}/gold/{name}", GOLD_PARTITIONS[name]
-        return {"rows_written": layers.write_counted(fresh, path, "overwrite", partitions)}
+        whole = since is None or not GOLD_PARTITIONS[name]
+        return {"rows_written": layers.overwrite_gold(tables[name], f"{base}/gold/{name}", name, whole)}
 
     return [_guarded(name, lambda name=name: build(name)) for name in tables]
 

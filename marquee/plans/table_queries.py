@@ -15,7 +15,7 @@ from marquee.plans.model import Tables
 from marquee.plans.registry import CAST, CHART, CONTENT, MONEY, WORDS, query
 from marquee.plans.trend_queries import MONTHLY, WEEKLY_CHANGE
 from marquee.session import fresh_path
-from marquee.sources import export, landing, layers
+from marquee.sources import commits, export, landing, layers
 from marquee.sources.warehouse import Warehouse
 from marquee.streaming import bronze
 
@@ -549,7 +549,7 @@ def run_summary(t: Tables) -> DataFrame:
     """Row counts observed while the tables were written."""
     rows = []
     for name, df in (("first", _loaded(t)), ("second", _batch(t))):
-        written = layers.write_counted(df, fresh_path(t.spark, "run"), "overwrite", ["date"])
+        written = commits.write_counted(df, fresh_path(t.spark, "run"), "overwrite", ["date"])
         rows.append({"table": name, "rows_read": written, "rows_written": written, "status": "SUCCESS"})
     return layers.run_summary(t.spark, rows)
 

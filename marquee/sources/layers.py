@@ -1,51 +1,53 @@
-"""Bronze, silver and gold tables as partitioned Parquet.
+"""Bronze, silver and gold tables, published version by version (`commits`).
 
-Writers rebalance on the partition column first: few files per partition, and
-adaptive execution splits a partition that holds most of the rows. Row counts
-come from an observation of the write itself, not from a second pass.
+A scan plans from the manifest: it names the folders, the rows and the schema, so no footer is opened for a schema that
+may have gained a column. A mart is switched when it is wholly written; a write that fails leaves the old one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.contracts import GOLD_PARTITIONS, SILVER_DROPS
+from marquee.sources.commits import Table
 
+MONTHS, DAYS = ["year", "month"], ["extraction_date"]
 
-def read_layer(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
+class NoTable(FileNotFoundError):
+    """Nothing has been published there."""
 
-def write_counted(df: DataFrame, path: str, mode: str, partitions: list[str], overwrite: str = "dynamic") -> int:
-    """Write a table and return its row count."""
-    seen = Observation()
-    if partitions:
-        df = df.hint("rebalance", *partitions)
-    # Observed after the shuffle, in the stage that writes: a map task run again after
-    # a lost executor is not counted twice.
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode).option("partitionOverwriteMode", overwrite)
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-    return seen.get["rows"]
+
+def layer(spark: SparkSession, path: str, by: list[str]) -> Table:
+    return Table(spark, path, by=by)
+
+
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a layer's table."""
+    newest = Table(spark, path).newest()
+    if not newest.version:
+        raise NoTable(path)
+    return Table(spark, path, by=newest.by).read(version=newest)
 
 
 def with_month_partitions(df: DataFrame, day: str = "_extraction_date") -> DataFrame:
     return df.withColumns({"year": F.year(day), "month": F.month(day)})
 
 
-def append_bronze(df: DataFrame, path: str) -> int:
-    return write_counted(with_month_partitions(df), path, "append", ["year", "month"])
+def append_bronze(df: DataFrame, path: str, batch: tuple[str, int] | None = None) -> int:
+    """Add records to their months. `batch` names a stream and its batch, which is added once however often it is sent."""
+    return layer(df.sparkSession, path, MONTHS).add(with_month_partitions(df), batch)
 
 
 def overwrite_silver_days(df: DataFrame, path: str) -> int:
     """Replace the extraction dates the batch holds; other dates stay."""
-    return write_counted(df.drop(*SILVER_DROPS), path, "overwrite", ["extraction_date"])
+    return layer(df.sparkSession, path, DAYS).replace(df.drop(*SILVER_DROPS))
 
 
-def overwrite_gold(df: DataFrame, path: str, name: str) -> int:
-    """Replace a mart as a whole."""
-    return write_counted(df, path, "overwrite", GOLD_PARTITIONS[name], overwrite="static")
+def overwrite_gold(df: DataFrame, path: str, name: str, whole: bool = True) -> int:
+    """Replace a mart as a whole, or the partitions that the rows fall in."""
+    return layer(df.sparkSession, path, GOLD_PARTITIONS[name]).replace(df, whole)
 
 
 def run_summary(spark: SparkSession, rows: list[dict]) -> DataFrame:

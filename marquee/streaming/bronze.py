@@ -1,4 +1,8 @@
-"""Bronze ingestion as a file stream that picks up each landed file once and then stops."""
+"""Bronze ingestion as a file stream that picks up each landed file once and then stops.
+
+A batch carries the stream's id and its own number, and the table remembers the last number of each stream: a batch that
+is sent again, after a failure between its commit and the stream's, adds nothing.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.contracts import FEEDS, RAW_SCHEMAS
 from marquee.sources.landing import CORRUPT
-from marquee.sources.layers import with_month_partitions
+from marquee.sources.layers import append_bronze
 
 
 def landed_stream(spark: SparkSession, base: str, feed: str, source: str) -> DataFrame:
@@ -29,15 +33,20 @@ def landed_stream(spark: SparkSession, base: str, feed: str, source: str) -> Dat
     )
 
 
+def add_batch(batch: DataFrame, stream: str, number: int, bronze: str) -> int:
+    """Add a batch to the table unless it is there; returns the rows added."""
+    named = batch.withColumn("_batch_id", F.lit(f"{stream}-{number}"))
+    return append_bronze(named, bronze, (stream, number))
+
+
 def ingest_available(spark: SparkSession, base: str, feed: str, source: str, bronze: str, checkpoint: str) -> None:
     """Append everything landed since the last run; the checkpoint makes a repeat a no-op."""
-    stream = with_month_partitions(landed_stream(spark, base, feed, source))
-    query = (
-        stream.withColumn("_batch_id", F.lit(feed))
-        .writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("year", "month")
-        .format("parquet")
-        .start(bronze)
-    )
-    query.awaitTermination()
+
+    def add(batch: DataFrame, number: int) -> None:
+        # Numbers start anew with a new checkpoint, whose stream has another id.
+        stream = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        add_batch(batch, stream, number, bronze)
+
+    stream = landed_stream(spark, base, feed, source)
+    writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    writer.foreachBatch(add).start().awaitTermination()

@@ -13,7 +13,7 @@ from marquee.contracts import EXPORTS, MOVIE
 from marquee.operators import merge, quality, serving
 from marquee.operators.quality import QualityError
 from marquee.session import scratch_dir
-from marquee.sources import export, jdbc, landing, layers
+from marquee.sources import commits, export, jdbc, landing, layers
 from marquee.sources.warehouse import Warehouse
 from marquee.streaming import bronze
 
@@ -211,7 +211,7 @@ def test_export_projection_flattens_arrays(spark):
 
 
 def test_write_counts_rows(spark, tmp_path):
-    assert layers.write_counted(spark.range(7), str(tmp_path / "t"), "overwrite", []) == 7
+    assert commits.write_counted(spark.range(7), str(tmp_path / "t"), "overwrite", []) == 7
 
 
 def test_jdbc_options_and_statements():

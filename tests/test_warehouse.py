@@ -9,8 +9,10 @@ from marquee.operators import merge
 from marquee.operators.integrity import dependents
 from marquee.operators.quality import QualityError
 from marquee.plans import jobs
+from marquee.sources import layers
 from marquee.sources.commits import SEGMENTS, Conflict, Table, put_if_absent
 from marquee.sources.warehouse import Warehouse
+from marquee.streaming import bronze
 
 PAIR = "k bigint, v string"
 
@@ -191,3 +193,73 @@ def test_references_are_removed_before_they_are_emptied():
     for parent in {f[2] for f in FOREIGN_KEYS}:
         actions = [d[3] for d in dependents(parent)]
         assert actions == sorted(actions, key=lambda a: a != "cascade")
+
+
+# --- layers ---
+
+
+def test_schemas_are_read_from_the_manifest(spark, tmp_path):
+    table = Table(spark, str(tmp_path), by="d")
+    table.add(spark.createDataFrame([(1, "a")], "k bigint, d string"))
+    table.add(spark.createDataFrame([(2, "b", 2.5)], "k bigint, d string, more double"))
+    assert rows(table.read(), "k", "d", "more") == [(1, "a", None), (2, "b", 2.5)]
+    with pytest.raises(ValueError, match="k is bigint, not string"):
+        table.add(spark.createDataFrame([("x", "c")], "k string, d string"))
+    assert table.read().count() == 2
+    for file in tmp_path.rglob("*.parquet"):
+        file.write_bytes(b"no footer")  # planning a scan opens none
+    assert table.read().filter("d = 'a'").columns == ["k", "d", "more"]
+
+
+def test_only_parts_asked_for_are_scanned(spark, tmp_path):
+    table = Table(spark, str(tmp_path), by=["y", "m"])
+    table.add(spark.createDataFrame([(i, 2020 + i % 3, i % 2) for i in range(12)], "k bigint, y int, m int"))
+    scan = table.read().filter("y = 2021 and m = 1")
+    assert "PartitionFilters: [isnotnull(y" in scan._jdf.queryExecution().executedPlan().toString()
+    assert rows(scan, "k") == [(1,), (7,)]
+
+
+def test_marts_are_switched_at_once(spark, tmp_path):
+    path = str(tmp_path / "gold_roi_analysis")
+    first = spark.createDataFrame([(1, "old")], "id bigint, title string")
+    assert layers.overwrite_gold(first, path, "gold_roi_analysis") == 1
+    failing = first.select("id", F.raise_error(F.lit("late")).cast("string").alias("title"))
+    with pytest.raises(Exception, match="late"):
+        layers.overwrite_gold(failing, path, "gold_roi_analysis")
+    assert rows(layers.read_layer(spark, path)) == [(1, "old")]
+    # The new version may be made from the old one.
+    layers.overwrite_gold(layers.read_layer(spark, path).withColumn("title", F.lit("new")), path, "gold_roi_analysis")
+    assert rows(layers.read_layer(spark, path)) == [(1, "new")]
+    with pytest.raises(layers.NoTable):
+        layers.read_layer(spark, str(tmp_path / "nothing"))
+
+
+def test_partitions_of_a_mart_are_replaced(spark, tmp_path):
+    path, schema = str(tmp_path / "gold_daily_trends"), "id bigint, extraction_date date"
+    layers.overwrite_gold(spark.createDataFrame([(1, day("2026-01-01")), (2, day("2026-01-02"))], schema), path, "gold_daily_trends")
+    fresh = spark.createDataFrame([(3, day("2026-01-02"))], schema)
+    assert layers.overwrite_gold(fresh, path, "gold_daily_trends", whole=False) == 1
+    assert rows(layers.read_layer(spark, path), "id") == [(1,), (3,)]
+
+
+def test_a_batch_sent_again_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    batch = spark.createDataFrame([(1, day("2026-01-01"))], "id bigint, _extraction_date date")
+    assert [bronze.add_batch(batch, "s", n, path) for n in (0, 0, 1, 0)] == [1, 0, 1, 0]
+    assert bronze.add_batch(batch, "other", 0, path) == 1
+    assert rows(layers.read_layer(spark, path), "_batch_id") == [("other-0",), ("s-0",), ("s-1",)]
+
+
+def test_a_lost_stream_commit_is_made_good(spark, tmp_path):
+    """The table has a batch that the stream's checkpoint does not know of: the stream sends it again."""
+    from marquee.sources import landing
+
+    base = str(tmp_path)
+    landing.write_landing(spark.createDataFrame([(1, day("2026-01-01"))], "id bigint, date date"), base, "trending_people")
+    run = lambda: bronze.ingest_available(spark, base, "trending_people", "feed", f"{base}/bronze", f"{base}/progress")
+    run()
+    before = layers.read_layer(spark, f"{base}/bronze").count()
+    for file in ("0", ".0.crc"):
+        (tmp_path / "progress" / "commits" / file).unlink()
+    run()
+    assert layers.read_layer(spark, f"{base}/bronze").count() == before == 1
