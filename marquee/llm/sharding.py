@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from marquee.session import materialize
 
-SHARDS, ROUNDS = 24, 12
+# Shards, the most rounds, and rounds without a move after which it ends.
+SHARDS, ROUNDS, IDLE = 24, 12, 2
 # Rows that one numbering task handles, about.
 SLICE_ROWS = 500_000
 # Moves are let in by size and then by one of so many hash bins, whose sums alone are compared with the room.
@@ -55,9 +56,12 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     of_text = Window.partitionBy("digest")
     linked = cells.withColumn("copies", F.sum("n").over(of_text)).filter("copies > 1").withColumn("shard", F.col("home"))
     state = materialize(linked, "cells")
+    idle = 0
     for turn in range(ROUNDS):
         moved = materialize(_moved(state, quota, turn), "cells")
-        if moved.filter("moves").isEmpty():
+        # Another turn's hashes choose other shards for texts of equal standing.
+        idle = idle + 1 if moved.filter("moves").isEmpty() else 0
+        if idle == IDLE:
             break
         state = moved.drop("moves")
     placed = rows.join(state.select("digest", "home", "n", "shard"), ["digest", "home"], "left").select(
@@ -94,8 +98,9 @@ def _moved(state: DataFrame, quota: list[int], turn: int) -> DataFrame:
     leaving = {r["shard"]: r["n"] for r in bins.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     room = _array([max(0, q - load.get(s, 0) + leaving.get(s, 0)) for s, q in enumerate(quota)])
     before = Window.partitionBy("target").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    sums = bins.groupBy("target", "rank").agg(F.sum("n").alias("n")).withColumn("sum", F.sum("n").over(before))
-    let_in = sums.filter(F.col("sum") <= F.get(room, F.col("target")))
+    # A bin larger than the room keeps none of the smaller ones out.
+    sums = bins.groupBy("target", "rank").agg(F.sum("n").alias("n")).filter(F.col("n") <= F.get(room, F.col("target")))
+    let_in = sums.withColumn("sum", F.sum("n").over(before)).filter(F.col("sum") <= F.get(room, F.col("target")))
     found = wished.join(let_in.select("target", "rank", F.lit(True).alias("free")), ["target", "rank"], "left")
     moves = (F.col("target") != F.col("shard")) & F.coalesce("free", F.lit(False))
     return found.select("digest", "home", "n", "copies", F.when(moves, F.col("target")).otherwise(F.col("shard")).alias("shard"), moves.alias("moves"))
