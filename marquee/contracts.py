@@ -152,6 +152,7 @@ EXPORTS = {
     ),
 }
 
+# Columns that part the marts.
 GOLD_PARTITIONS = {
     "gold_daily_trends": ["extraction_date"],
     "gold_weekly_rankings": ["year_week"],
@@ -189,6 +190,7 @@ STAR_SCHEMA = {
     ),
 }
 
+# Keys of the star schema.
 STAR_KEYS = {
     "dim_genres": ["genre_id"],
     "dim_movies": ["movie_id"],
@@ -200,7 +202,7 @@ STAR_KEYS = {
     "agg_monthly_genres": ["month", "genre_id"],
 }
 
-# Order in which a table is listed; ids settle ties.
+# Order in which a table is listed; ids settle ties.
 LISTING_ORDER = {
     "dim_genres": [("name", "asc"), ("genre_id", "asc")],
     "dim_movies": [("updated_at", "desc"), ("movie_id", "asc")],

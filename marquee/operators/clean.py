@@ -68,9 +68,10 @@ def align_movie(df: DataFrame) -> DataFrame:
 
 def unify(movies: DataFrame, shows: DataFrame) -> DataFrame:
     """Movies and shows on the columns both have."""
-    movies, shows = align_movie(movies), align_show(shows)
-    shared = [c for c in UNIFIED_COLUMNS if c in movies.columns and c in shows.columns]
-    return movies.select(*shared).unionByName(shows.select(*shared), allowMissingColumns=True)
+    feeds = [align_movie(movies), align_show(shows)]
+    common = set(UNIFIED_COLUMNS).intersection(*(feed.columns for feed in feeds))
+    columns = sorted(common, key=UNIFIED_COLUMNS.index)
+    return reduce(DataFrame.unionByName, [feed.select(columns) for feed in feeds])
 
 
 def concat_feeds(*feeds: DataFrame) -> DataFrame:

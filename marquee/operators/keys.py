@@ -15,12 +15,11 @@ def deduplicate(df: DataFrame, keys: list[str], order_by: list[Column], keep: st
     told apart by a hash of all their columns, so a re-run keeps the same one.
     """
     tie = F.xxhash64(*df.columns)
-    ascending = [*order_by, tie] if keep == "first" else [o.desc_nulls_last() for o in [*order_by, tie]]
-    numbered = df.withColumn("_row_num", F.row_number().over(Window.partitionBy(*keys).orderBy(*ascending)))
-    return numbered.filter(F.col("_row_num") == 1).drop("_row_num")
+    order = [*order_by, tie] if keep == "first" else [o.desc_nulls_last() for o in [*order_by, tie]]
+    return top_rows(df, keys, order, 1)
 
 
 def top_rows(df: DataFrame, by: list[str], order_by: list[Column], n: int) -> DataFrame:
     """First n rows of each group, pruned per map partition in the same way."""
-    numbered = df.withColumn("_row_num", F.row_number().over(Window.partitionBy(*by).orderBy(*order_by)))
-    return numbered.filter(F.col("_row_num") <= n).drop("_row_num")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order_by))
+    return df.withColumn("_place_in_group", place).filter(F.col("_place_in_group") <= n).drop("_place_in_group")

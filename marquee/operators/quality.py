@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
@@ -79,16 +81,17 @@ def require_ids(counts: dict[str, Any], label: str) -> None:
         raise QualityError(f"{label}: {counts['null_ids']} of {counts['records']} records have no id")
 
 
+# What a bound of a rule is called in the result, and which values break it.
+BOUNDS: dict[str, tuple[str, Callable[[Column, Any], Column]]] = {
+    "min": ("below_min", operator.lt),
+    "max": ("above_max", operator.gt),
+}
+
+
 def rule_counts(df: DataFrame, checks: dict[str, dict[str, Any]]) -> DataFrame | None:
     """Rows below `min` and above `max` per column; columns the table lacks are left out."""
-    counts = []
-    for name, rule in checks.items():
-        if name not in df.columns:
-            continue
-        if "min" in rule:
-            counts.append(F.count_if(F.col(name) < rule["min"]).alias(f"{name}_below_min"))
-        if "max" in rule:
-            counts.append(F.count_if(F.col(name) > rule["max"]).alias(f"{name}_above_max"))
+    bounds = [(name, bound, limit) for name in df.columns if name in checks for bound, limit in checks[name].items()]
+    counts = [F.count_if(BOUNDS[b][1](F.col(n), limit)).alias(f"{n}_{BOUNDS[b][0]}") for n, b, limit in bounds if b in BOUNDS]
     return df.agg(*counts) if counts else None
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.contracts import ENRICH_TITLES, LISTING_ORDER, PAGE_ROWS, SHOWN_CAST
-from marquee.functions.exact import percent
+from marquee.functions.exact import fixed, mean, percent
 from marquee.functions.labels import bubble_size, short_title
 from marquee.operators.keys import top_rows
 
@@ -34,6 +34,14 @@ def parse_day(text: str | None) -> dt.date | None:
         return None
 
 
+def of_period(df: DataFrame, column: str, text: str | None) -> DataFrame:
+    """Rows of the day, week or month that a parameter names: all without one, the newest one's if it is malformed."""
+    if not text:
+        return df
+    wanted = parse_day(text)
+    return on_latest(df, column) if wanted is None else df.filter(F.col(column) == F.lit(wanted))
+
+
 def daily_page(
     fact: DataFrame,
     movies: DataFrame,
@@ -56,23 +64,19 @@ def with_movie(rows: DataFrame, movies: DataFrame) -> DataFrame:
 
 def daily_api(fact: DataFrame, movies: DataFrame, day: str | None = None, media_type: str | None = None) -> DataFrame:
     """API rows; both filters are optional, and without them the whole fact is listed."""
-    rows = fact
-    if day:
-        rows = rows.filter(F.col("date") == F.lit(day).cast("date"))
+    rows = of_period(fact, "date", day)
     if media_type:
         rows = rows.filter(F.col("media_type") == media_type)
     return with_movie(rows, movies).orderBy("position", "date", "media_type", "movie_id")
 
 
 def weekly_api(weekly: DataFrame, movies: DataFrame, week: str | None = None) -> DataFrame:
-    rows = weekly.filter(F.col("week_start") == F.lit(week).cast("date")) if week else weekly
-    joined = with_movie(rows, movies).drop("poster_url")
+    joined = with_movie(of_period(weekly, "week_start", week), movies).drop("poster_url")
     return joined.orderBy("avg_position", "week_start", "media_type", "movie_id")
 
 
 def monthly_api(monthly: DataFrame, genres: DataFrame, month: str | None = None) -> DataFrame:
-    rows = monthly.filter(F.col("month") == F.lit(month).cast("date")) if month else monthly
-    named = rows.join(genres.select("genre_id", F.col("name").alias("genre_name")), "genre_id")
+    named = of_period(monthly, "month", month).join(genres.select("genre_id", F.col("name").alias("genre_name")), "genre_id")
     return named.orderBy(F.col("trending_count").desc(), "month", "genre_id")
 
 
@@ -102,7 +106,7 @@ def kpis(fact: DataFrame, movies: DataFrame, genres: DataFrame, newest: Column |
     today = fact.filter(F.col("date") == newest).agg(
         F.count("*").alias("trending_today"),
         F.max("date").alias("_day"),
-        F.coalesce(F.round(F.avg(F.col("vote_average").cast("decimal(10,4)")), 1), F.lit(0)).alias("avg_rating"),
+        F.coalesce(mean(F.sum(fixed("vote_average")), F.count(fixed("vote_average")), 1), F.lit(0.0)).alias("avg_rating"),
     )
     return today.select(
         movies.agg(F.count("*")).scalar().alias("total_movies"),

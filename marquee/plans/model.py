@@ -19,8 +19,8 @@ from marquee.operators.trends import daily_positions
 IMAGE_BASE = "https://images.example.org/t"
 
 
-# Schemas by table path: a footer is read once, not once per query.
-_SCHEMAS: dict[str, StructType] = {}
+# Schemas by table path and time of its last change: a footer is read once, not once per query.
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
 class Tables:
@@ -33,9 +33,11 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        changed = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(at).getModificationTime()
+        if (path, changed) not in _SCHEMAS:
+            _SCHEMAS[path, changed] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path, changed]).parquet(path)
 
 
 def newest_day(t: Tables) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +32,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: spark.checkpoint.dir, else one beside the tables of the warehouse.
-
-    Both are settings of the cluster, and the rule is the same for every master."""
+    """Folder every executor can reach: spark.checkpoint.dir. Only a session whose tasks run in the driver itself may
+    do without, and then uses a folder beside the tables of its warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if named:
+        return named.rstrip("/")
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
