@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -36,7 +37,7 @@ LEFT_OVER = 128
 AHEAD = 4
 # Stretches of text whose ids a worker remembers for sure, the longest one remembered, and how many unknown ones are
 # encoded together.
-MEMO, LONG_STRETCH, TOGETHER = 300_000, 64, 64
+MEMO, LONG_STRETCH, TOGETHER = 500_000, 64, 64
 # The id that ends each document.
 END = 0
 
@@ -113,8 +114,10 @@ class Stretches:
 
     def _word(self, word: str) -> bytes:
         """Ids of what the tokenizer hands to its model as one word, once in lower case and with letters for bytes."""
-        ids = [t.id for t in self.model.tokenize(word.lower().encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _ask(self, rest: list[str]) -> None:
         """Encode stretches a few at a time, parted by line ends; offsets tell which stretch an id is of."""
