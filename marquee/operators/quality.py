@@ -23,6 +23,14 @@ def require_columns(df: DataFrame, media: str) -> None:
         raise QualityError(f"{media}: missing columns {missing}, have {sorted(df.columns)}")
 
 
+def require_fields(census: DataFrame, media: str) -> None:
+    """Fail if a required field is named by no record, as a fixed schema would read it as null everywhere."""
+    named = {r["field"] for r in census.filter(F.col("field").isin(REQUIRED.get(media, []))).collect()}
+    missing = sorted(set(REQUIRED.get(media, [])) - named)
+    if missing:
+        raise QualityError(f"{media}: no record names {missing}")
+
+
 def require_values(df: DataFrame, media: str) -> None:
     """Fail if no record at all carries a required field.
 

@@ -50,7 +50,7 @@ def raw_to_bronze(
         raw = landing.read_raw(spark, base, feed, day, json_array)
         if raw.isEmpty():
             return {"status": "EMPTY", "rows_written": 0}
-        quality.require_columns(raw, FEEDS[feed])
+        quality.require_fields(landing.field_census(spark, base, feed, day, json_array), FEEDS[feed])
         quality.require_values(raw, FEEDS[feed])
         return {
             "rows_written": layers.append_bronze(

@@ -450,6 +450,22 @@ def landed_day(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "Q1 S1",
+    f"""with {CONTENT}, landed as (select * from content where extraction_date = date '2024-01-15')
+    select field, records from (
+      select 'id' as field, count(id) as records from landed union all select 'title', count(title) from landed
+      union all select 'popularity', count(popularity) from landed union all select 'vote_average', count(vote_average) from landed
+      union all select 'vote_count', count(*) from landed union all select 'release_date', count(*) from landed
+      union all select 'genre_ids', count(*) from landed) where records > 0""",
+)
+def field_census(t: Tables) -> DataFrame:
+    """Records of a landed day by the fields they name; a writer leaves out what is null."""
+    base = fresh_path(t.spark, "landing")
+    _landed(t, base)
+    return landing.field_census(t.spark, base, _FEED, "2024-01-15")
+
+
 @query(
     "S1 S2 S4 S8",
     _charted("""movie_id as id, p_name as title, date as _extraction_date, cast(year(date) as integer) as year,

@@ -28,6 +28,20 @@ def read_raw(spark: SparkSession, base: str, feed: str, day: dt.date | str, json
     return reader.json(landing_path(base, feed, day))
 
 
+def field_census(spark: SparkSession, base: str, feed: str, day: dt.date | str, json_array: bool = False) -> DataFrame:
+    """How many records of a feed and day name each field, whatever a schema expects: field, records.
+
+    The names come from the landed text itself, in one pass; what is no JSON object names nothing.
+    """
+    text = spark.read.text(landing_path(base, feed, day), wholetext=json_array)
+    if json_array:
+        keys = F.transform(F.from_json("value", "array<map<string,string>>"), lambda record: F.map_keys(record))
+        names = text.select(F.explode(keys).alias("keys"))
+    else:
+        names = text.select(F.json_object_keys("value").alias("keys"))
+    return names.select(F.explode("keys").alias("field")).groupBy("field").agg(F.count("*").alias("records"))
+
+
 def with_lineage(
     df: DataFrame, feed: str, day: dt.date | str, batch_id: str, source: str, file_path: Column | None = None
 ) -> DataFrame:

@@ -263,3 +263,24 @@ def test_a_lost_stream_commit_is_made_good(spark, tmp_path):
         (tmp_path / "progress" / "commits" / file).unlink()
     run()
     assert layers.read_layer(spark, f"{base}/bronze").count() == before == 1
+
+
+def test_a_feed_without_a_field_fails_by_its_name(spark, tmp_path):
+    from marquee.operators import quality
+    from marquee.sources import landing
+
+    def land(feed, text):
+        folder = tmp_path / "raw" / feed / "date=2026-01-01"
+        folder.mkdir(parents=True)
+        (folder / "data.json").write_text(text)
+
+    land("trending_people", '{"id": 1, "name": null, "extra": {"a": 1}}\n{broken\n\n{"id": 2, "popularity": 3.5}\n')
+    census = landing.field_census(spark, str(tmp_path), "trending_people", "2026-01-01")
+    assert rows(census, "field", "records") == [("extra", 1), ("id", 2), ("name", 1), ("popularity", 1)]
+    with pytest.raises(QualityError, match="known_for_department"):
+        quality.require_fields(census, "person")
+    land("trending_tv", '[{"id": 1, "name": "a"}, {"id": 2, "vote_count": [1]}]')
+    census = landing.field_census(spark, str(tmp_path), "trending_tv", "2026-01-01", json_array=True)
+    assert rows(census, "field", "records") == [("id", 2), ("name", 1), ("vote_count", 1)]
+    reports = {r["table"]: r for r in jobs.raw_to_bronze(spark, str(tmp_path), day("2026-01-01"))}
+    assert reports["trending_people"]["status"] == "FAILED" and "known_for_department" in reports["trending_people"]["error"]
