@@ -555,6 +555,18 @@ def warehouse_facts(t: Tables) -> DataFrame:
     return facts.select("movie_id", "media_type", "date", "popularity", "vote_count")
 
 
+@query(
+    "T5",
+    f"""with {CHART} select movie_id, media_type, date, cast(day(date) as integer) as position from chart
+    where movie_id in (select p_partkey from part) order by date, position, media_type, movie_id limit 20 offset 140""",
+)
+def warehouse_page(t: Tables) -> DataFrame:
+    """The eighth page of all facts: the days before its own are passed over by their row counts."""
+    warehouse = _star(t)
+    jobs.upsert_facts(warehouse, _charted_titles(t))
+    return warehouse.page("fact_daily_trends", 8).select("movie_id", "media_type", "date", "position")
+
+
 @query(
     "S16 Q6",
     f"""with {_MERGE}, runs(name, n) as (

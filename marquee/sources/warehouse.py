@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.contracts import FOREIGN_KEYS, STAR_KEYS, STAR_SCHEMA
+from marquee.contracts import FOREIGN_KEYS, LISTING_ORDER, PAGE_ROWS, STAR_KEYS, STAR_SCHEMA
 from marquee.operators import merge as merges
 from marquee.operators.integrity import dependents, screened
 from marquee.operators.quality import QualityError, require_unique
+from marquee.operators.serving import listing
 from marquee.session import materialize
 from marquee.sources.commits import Table
 
@@ -47,6 +48,26 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
 
+    def page(self, name: str, number: int, rows: int = PAGE_ROWS) -> DataFrame:
+        """A page of a table in the order it is listed in, numbered from 1.
+
+        The manifest tells how many rows each day, week or month has, so only those that the page falls in are read and
+        sorted; earlier pages are neither read nor carried along.
+        """
+        table, skip, chosen = self.table(name), (number - 1) * rows, []
+        first, way = LISTING_ORDER[name][0]
+        if table.by != [first]:
+            return listing(table.read(), name).offset(skip).limit(rows)
+        newest, wanted = table.newest(), rows
+        for part in sorted(newest.parts, reverse=way == "desc"):
+            held = newest.rows([part])
+            if not chosen and skip >= held:
+                skip -= held
+            elif wanted > 0:
+                wanted -= held - (0 if chosen else skip)
+                chosen.append(part)
+        return listing(table.read(chosen, newest), name).offset(skip if chosen else 0).limit(rows)
+
     def _screened(self, name: str, batch: DataFrame) -> DataFrame:
         """The batch with defaults filled in. One row without a required value or with a reference to nothing makes
         the whole batch fail, as it does in a database."""

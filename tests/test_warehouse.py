@@ -284,3 +284,22 @@ def test_a_feed_without_a_field_fails_by_its_name(spark, tmp_path):
     assert rows(census, "field", "records") == [("id", 2), ("name", 1), ("vote_count", 1)]
     reports = {r["table"]: r for r in jobs.raw_to_bronze(spark, str(tmp_path), day("2026-01-01"))}
     assert reports["trending_people"]["status"] == "FAILED" and "known_for_department" in reports["trending_people"]["error"]
+
+
+def test_a_page_reads_its_own_days(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    days = [day(f"2026-01-0{d}") for d in range(1, 6)]
+    found = [(i, "movie", d, i) for n, d in enumerate(days) for i in range(1, 4 + n)]  # 3, 4, 5, 6 and 7 rows
+    facts = spark.createDataFrame(found, "movie_id bigint, media_type string, date date, position int")
+    warehouse.merge("fact_daily_trends", facts, lambda old, new: merge.upsert(old, new, ["movie_id", "date", "media_type"]))
+    order = sorted((d, i) for i, _, d, _ in found)
+    for size in (4, 10):
+        for number in range(1, 9):
+            page = warehouse.page("fact_daily_trends", number, size)
+            assert [(r["date"], r["movie_id"]) for r in page.collect()] == order[(number - 1) * size : number * size]
+    third = warehouse.page("fact_daily_trends", 2, 4)  # rows 5 to 8: all of the second day, the first of the third
+    assert {f.split("date=")[1][:10] for f in third.inputFiles()} == {"2026-01-02", "2026-01-03"}
+    weekly = spark.createDataFrame([(i, "movie", d, float(i)) for i in (1, 2) for d in days], "movie_id bigint, media_type string, week_start date, avg_position double")
+    warehouse.merge("agg_weekly_summary", weekly, lambda old, new: new)
+    assert [r["week_start"] for r in warehouse.page("agg_weekly_summary", 2, 3).collect()] == [days[3], days[2], days[2]]
+    assert warehouse.page("dim_genres", 1).count() == 0
