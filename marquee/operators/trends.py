@@ -74,8 +74,15 @@ def extend_daily_trends(
     Equal to the same days of `daily_trends` over all rows: positions look at
     their own day only, and what a title's history contributes is its last row.
     """
+    return follow_state(title_state(trended, title, day), fresh, title, day)
+
+
+def follow_state(
+    state: DataFrame, fresh: DataFrame, title: list[str] = TITLE, day: str = "extraction_date"
+) -> DataFrame:
+    """Trends of days that follow a `title_state`."""
     moved = day_over_day(daily_positions(fresh, day), title, day)
-    joined = moved.join(title_state(trended, title, day), title, "left")
+    joined = moved.join(state, title, "left")
     # A title's first fresh row follows its last known one, a later row the fresh row before it.
     opening = F.col("is_new_entry")
     position = F.when(opening, F.col("_position")).otherwise(F.col("prev_position"))

@@ -28,6 +28,8 @@ from marquee.sources import export, jdbc, landing, layers
 from marquee.sources.warehouse import Warehouse
 
 SOURCE = "trending_api"
+# The mart of each title's last row, from which new days go on.
+STATE = "gold_title_state"
 
 
 def _guarded(table: str, step: Callable[[], dict], strict: bool = False) -> dict:
@@ -82,13 +84,13 @@ def bronze_to_silver(spark: SparkSession, base: str, days: list[dt.date]) -> lis
     return [_guarded(feed, lambda feed=feed: refine(feed)) for feed in FEEDS]
 
 
-def gold_tables(content: DataFrame, movies: DataFrame) -> dict[str, DataFrame]:
+def gold_tables(content: DataFrame, movies: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     return {
-        "gold_daily_trends": trends.daily_trends(content),
-        "gold_weekly_rankings": rollups.weekly_rankings(content),
-        "gold_monthly_genre_stats": rollups.monthly_genre_stats(content),
-        "gold_roi_analysis": finance.roi_analysis(movies),
-        "gold_rolling_averages": trends.rolling_averages(content),
+        "gold_daily_trends": lambda: trends.daily_trends(content),
+        "gold_weekly_rankings": lambda: rollups.weekly_rankings(content),
+        "gold_monthly_genre_stats": lambda: rollups.monthly_genre_stats(content),
+        "gold_roi_analysis": lambda: finance.roi_analysis(movies),
+        "gold_rolling_averages": lambda: trends.rolling_averages(content),
     }
 
 
@@ -103,28 +105,65 @@ def silver_to_gold(spark: SparkSession, base: str, since: dt.date | None = None)
     shows = layers.read_layer(spark, f"{base}/silver/trending_tv")
     content = clean.unify(movies, shows)
     tables = gold_tables(content, clean.align_movie(movies))
+    trended = f"{base}/gold/gold_daily_trends"
+    known = None if since is None else title_state_before(spark, base, since)
     if since is not None:
-        tables |= gold_since(content, layers.read_layer(spark, f"{base}/gold/gold_daily_trends"), since)
+        tables |= gold_since(content, lambda: layers.read_layer(spark, trended), since, known)
 
     def build(name: str) -> dict:
         whole = since is None or not GOLD_PARTITIONS[name]
-        return {"rows_written": layers.overwrite_gold(tables[name], f"{base}/gold/{name}", name, whole)}
+        written = layers.overwrite_gold(tables[name](), f"{base}/gold/{name}", name, whole)
+        if name == "gold_daily_trends":
+            keep_title_state(spark, base, since, known)
+        return {"rows_written": written}
 
     return [_guarded(name, lambda name=name: build(name)) for name in tables]
 
 
-def gold_since(content: DataFrame, trended: DataFrame, since: dt.date) -> dict[str, DataFrame]:
-    """The partitioned marts from a day, and from its week and month, on."""
+def title_state_before(spark: SparkSession, base: str, since: dt.date) -> DataFrame | None:
+    """Each title's last position, popularity and days on the chart before a day, as kept by the last build; none if
+    that build saw this day already."""
+    state = layers.layer(spark, f"{base}/gold/{STATE}", [])
+    newest = state.newest()
+    if not newest.version:
+        return None
+    kept = state.read(version=newest)
+    until = kept.agg(F.max("until")).first()[0]
+    return kept.drop("until") if until is None or until < since else None
+
+
+def keep_title_state(spark: SparkSession, base: str, since: dt.date | None, known: DataFrame | None) -> None:
+    """Bring the titles' state up to the newest day: from the new days and the state before them, where there is one."""
+    mart, first = layers.layer(spark, f"{base}/gold/gold_daily_trends", layers.DAYS), F.lit(str(since)).cast("date")
+    newest = mart.newest()
+    trended = mart.read(version=newest)
+    fresh = trended if known is None else trended.filter(F.col("extraction_date") >= first)
+    state = trends.title_state(fresh)
+    if known is not None:
+        state = merge.upsert(known, state, trends.TITLE)
+    # The manifest names the days: no file is read for the last of them.
+    until = F.lit(max(newest.parts, default=None)).cast("date")
+    layers.layer(spark, f"{base}/gold/{STATE}", []).replace(state.withColumn("until", until), whole=True)
+
+
+def gold_since(
+    content: DataFrame, trended: Callable[[], DataFrame], since: dt.date, state: DataFrame | None = None
+) -> dict[str, Callable[[], DataFrame]]:
+    """The partitioned marts from a day, and from its week and month, on; without a state the trends before that day
+    tell it."""
     first, day = F.lit(str(since)).cast("date"), F.col("extraction_date")
     monday = F.lit(str(since - dt.timedelta(days=since.weekday()))).cast("date")
-    before = trended.filter(day < first)
+    month = F.lit(str(since.replace(day=1))).cast("date")
+
+    def daily() -> DataFrame:
+        before = trends.title_state(trended().filter(day < first)) if state is None else state
+        return trends.follow_state(before, content.filter(day >= first))
+
     return {
-        "gold_daily_trends": trends.extend_daily_trends(before, content.filter(day >= first)),
-        "gold_weekly_rankings": rollups.weekly_rankings(content.filter(day >= monday)),
-        "gold_monthly_genre_stats": rollups.monthly_genre_stats(
-            content.filter(day >= F.lit(str(since.replace(day=1))).cast("date"))
-        ),
-        "gold_rolling_averages": trends.rolling_averages_since(content, first),
+        "gold_daily_trends": daily,
+        "gold_weekly_rankings": lambda: rollups.weekly_rankings(content.filter(day >= monday)),
+        "gold_monthly_genre_stats": lambda: rollups.monthly_genre_stats(content.filter(day >= month)),
+        "gold_rolling_averages": lambda: trends.rolling_averages_since(content, first),
     }
 
 

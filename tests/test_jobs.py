@@ -83,6 +83,38 @@ def test_gold_from_a_day_on_equals_the_whole(layered):
         assert rows(layers.read_layer(spark, f"{base}/gold/{n}").drop("_ingested_at", "_batch_id")) == before[n], n
 
 
+def test_new_days_follow_the_kept_state(spark, tmp_path):
+    """A further day is built from the state of each title: the days before it are not read again."""
+    base, days = str(tmp_path), [day("2026-06-28"), day("2026-06-29"), day("2026-06-30")]
+    for d, lift in zip(days, (0, 20, 5)):
+        land(tmp_path, "trending_movies", str(d), [movie(1, 50 + lift), movie(2, 60), *([movie(3, 70)] if lift else [])])
+        land(tmp_path, "trending_tv", str(d), [show(1, 40)])
+        land(tmp_path, "trending_people", str(d), [])
+        jobs.raw_to_bronze(spark, base, d)
+    jobs.bronze_to_silver(spark, base, days[:2])
+    jobs.silver_to_gold(spark, base)
+    state = layers.read_layer(spark, f"{base}/gold/{jobs.STATE}")
+    assert rows(state, "media_type", "id", "_days", "until") == [("movie", 1, 2, days[1]), ("movie", 2, 2, days[1]), ("movie", 3, 1, days[1]), ("tv", 1, 2, days[1])]
+    jobs.bronze_to_silver(spark, base, days[2:])
+    read = layers.read_layer(spark, f"{base}/gold/gold_daily_trends")
+    before = rows(read.drop("_ingested_at", "_batch_id"))
+    old = [f for f in (tmp_path / "gold" / "gold_daily_trends").rglob("*.parquet")]
+    held = {f: f.read_bytes() for f in old}
+    for f in old:
+        f.write_bytes(b"unreadable")
+    reports = {r["table"]: r for r in jobs.silver_to_gold(spark, base, days[2])}
+    for f, content in held.items():
+        f.write_bytes(content)
+    assert reports["gold_daily_trends"]["status"] == "SUCCESS", reports
+    extended = layers.read_layer(spark, f"{base}/gold/gold_daily_trends").drop("_ingested_at", "_batch_id")
+    assert rows(extended.filter(F.col("extraction_date") < days[2])) == before
+    assert rows(layers.read_layer(spark, f"{base}/gold/{jobs.STATE}"), "_days", "until")[-1] == (3, days[2])
+    fresh = rows(extended.filter(F.col("extraction_date") == days[2]), "media_type", "id", "prev_position", "days_on_chart")
+    jobs.silver_to_gold(spark, base)
+    whole = layers.read_layer(spark, f"{base}/gold/gold_daily_trends")
+    assert rows(whole.filter(F.col("extraction_date") == days[2]), "media_type", "id", "prev_position", "days_on_chart") == fresh
+
+
 def test_a_failed_feed_does_not_stop_the_others(spark, tmp_path):
     land(tmp_path, "trending_tv", "2026-06-29", [show(1, 1.0)])
     land(tmp_path, "trending_people", "2026-06-29", [])
