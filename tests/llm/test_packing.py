@@ -88,9 +88,10 @@ def test_many_equal_ids_and_few_open(spark, tokenizer):
     table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     found = packing.pack(table, capacity=100, most=4, keep_ids=False).collect()
     used = check(found, [(i, plain_ids(tokenizer, t)) for i, t in rows], 100)
-    one_open, free = 0, 0
-    for r in found:
-        one_open, free = (one_open, free - r["length"]) if r["length"] <= free else (one_open + 1, 100 - r["length"])
+    one_open, free = 0, 0  # documents in their own order, with one open sequence
+    for _, text in rows:
+        length = len(plain_ids(tokenizer, text))
+        one_open, free = (one_open, free - length) if length <= free else (one_open + 1, 100 - length)
     assert used < 0.95 * one_open
 
 
