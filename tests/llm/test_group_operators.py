@@ -266,13 +266,13 @@ def test_block_prints_are_simhashes(spark):
 
 
 def test_fewer_changes_than_blocks_leave_a_block(spark):
-    """Lines of 40 words of which few are replaced: as many words as there are blocks less one can change at most."""
+    """Of the blocks that are kept, one is left if fewer words change than are kept."""
     draw = random.Random(10)
     rows, vocabulary = [], ["".join(draw.choice("abcdefgh") for _ in range(9)) for _ in range(5000)]
     for i in range(200):
         line = draw.sample(vocabulary, 28)
         other = list(line)
-        for at in draw.sample(range(28), 3):  # at most six of eight blocks change
+        for at in draw.sample(range(28), (lines.KEPT - 1) // 2):  # each of them changes two blocks at most
             other[at] = draw.choice(vocabulary)
         rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(draw.sample(other, 28)))]
     kept = {r["doc_id"]: set(r["buckets"]) for r in lines._lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
