@@ -332,6 +332,59 @@ def test_lines_are_found_by_edit_similarity_alone(spark):
     assert kept == set(range(len(out))) - gone
 
 
+def crowded_rows():
+    """Pairs of lines changed in most words, each with the words that all lines share: some meet in one crowded block only."""
+    draw, rows = random.Random(17), []
+    word = lambda n: "".join(draw.choice("abcdefghijklmnop") for _ in range(n))
+    for n, common, kept in [(4, ["everywhere"], 0)] * 200 + [(12, ["everywhere", "standing"], 3)] * 50:
+        line = [word(9) for _ in range(n - len(common))]
+        other = [w if i < kept else w[:-1] + "x" for i, w in enumerate(line)]
+        rows += [" ".join(common + line), " ".join(common + other)]
+    return rows
+
+
+@pytest.mark.parametrize("cell", [lines.SMALL // 4, 1000])
+def test_all_lines_that_share_a_block_are_compared(spark, monkeypatch, cell):
+    """Against brute force over all pairs that share a block, however crowded it is, and whatever the size of a cell."""
+    monkeypatch.setattr(lines, "CELL", cell, raising=False)
+    docs = spark.createDataFrame(list(enumerate(crowded_rows())), "doc_id bigint, text string")
+    occurrences = lines.materialize(lines._lines(docs), "crowded")
+    texts_of, buckets = dict(docs.collect()), {}
+    key = {r["line"]["x"]: texts_of[r["doc_id"]] for r in occurrences.collect()}
+    for r in occurrences.collect():
+        for b in r["buckets"]:
+            buckets.setdefault(b, set()).add(r["line"]["x"])
+    assert max(map(len, buckets.values())) > 2 * lines.SMALL
+    shared = lambda a, b: len({*a.split()} & {*b.split()}) >= lines.WORDS * min(len(a.split()), len(b.split()))
+    met = {(a, b) for some in buckets.values() for a in some for b in some if a > b}
+    pairs = [(a, b) for a, b in met if similar(key[a], key[b]) and (max(len(key[a]), len(key[b])) < lines.LONG or shared(key[a], key[b]))]
+    assert len(pairs) >= 20
+    found = {r["node"]: r["root"] for r in lines.line_groups(occurrences, docs).collect()}
+    assert found == plain_components(pairs)
+
+
+def test_bounds_let_no_similar_pair_go(spark):
+    """Edits of every kind within the limit: the bits of letters and words must allow each such pair."""
+    draw, rows = random.Random(18), []
+    for i in range(300):
+        line = " ".join("".join(draw.choice("abcde é漢") for _ in range(draw.randrange(1, 9))) for _ in range(draw.choice([3, 8, 14, 40])))
+        other = list(line)
+        for _ in range(int(0.2 * len(plain_line(line))) // 2):
+            at = draw.randrange(len(other))
+            other[at : at + 1] = draw.choice([[], [other[at], draw.choice("xyz ")], [draw.choice("abxyz ")]])
+        rows += [(2 * i, line), (2 * i + 1, "".join(other))]
+    docs = spark.createDataFrame([r for r in rows if plain_line(r[1])], "doc_id bigint, text string")
+    held = lines.materialize(lines._lines(docs), "bounds").select("doc_id", *lines.SKETCH)
+    other = held.toDF("doc_id2", *[f"{c}2" for c in lines.SKETCH])
+    both = held.join(other, F.expr("doc_id2 = doc_id + 1 and doc_id % 2 = 0"))
+    allowed = {r["doc_id"] for r in both.filter(lines._may_be_similar(lines.SIMILAR)).collect()}
+    norms = {i: plain_line(t) for i, t in rows}
+    words = {i: n.split(" ") for i, n in norms.items()}
+    near = [i for i in range(0, 600, 2) if norms[i] and norms[i + 1] and similar(norms[i], norms[i + 1])]
+    must = {i for i in near if max(len(norms[i]), len(norms[i + 1])) < lines.LONG or len({*words[i]} & {*words[i + 1]}) >= lines.WORDS * min(len(words[i]), len(words[i + 1]))}
+    assert len(must) >= 100 and must <= allowed
+
+
 CASES = {
     "simhash": simhash.near_duplicates,
     "keep_first": simhash.keep_first,
