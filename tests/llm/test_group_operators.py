@@ -385,6 +385,43 @@ def test_bounds_let_no_similar_pair_go(spark):
     assert len(must) >= 100 and must <= allowed
 
 
+def test_bounds_rule_out_long_unlike_lines(spark):
+    """Lines of 150 words each, hardly any in common: nearly none of their pairs needs its texts."""
+    draw = random.Random(19)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(7))
+    docs = spark.createDataFrame([(i, " ".join(word() for _ in range(150))) for i in range(40)], "doc_id bigint, text string")
+    held = lines.materialize(lines._lines(docs), "unlike").select("doc_id", *lines.SKETCH)
+    other = held.toDF("doc_id2", *[f"{c}2" for c in lines.SKETCH])
+    assert held.join(other, F.expr("doc_id < doc_id2")).filter(lines._may_be_similar(lines.SIMILAR)).count() <= 780 // 20
+
+
+def test_lines_all_alike_need_one_link_each(spark):
+    """Twelve forms of one line: the first turn compares each with one other, and all but one go."""
+    draw = random.Random(20)
+    line = ["".join(draw.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(30)]
+    rows = [(i, " ".join([*line[:i], line[i] + "x", *line[i + 1 :]])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    occurrences = lines.materialize(lines._lines(docs), "alike")
+    assert lines.candidate_pairs(occurrences).count() <= 11
+    assert lines.line_report(docs).agg(F.sum("n_removed")).first()[0] == 11
+
+
+@pytest.mark.parametrize("other", ["in place", "moved"])
+def test_word_by_word_edits_only_add_what_the_search_finds(spark, other):
+    """Pairs just within and just beyond the limit, with words altered in place or one word more."""
+    draw, rows = random.Random(21), []
+    for i in range(200):
+        line = ["".join(draw.choice("abcdef") for _ in range(draw.randrange(3, 9))) for _ in range(20)]
+        more = [w if draw.random() < 0.4 else w[:-2] + "xy" for w in line]
+        rows.append((i, " ".join(line), " ".join(more if other == "in place" else ["zz", *more])))
+    known = [(2 * i + j, t) for i, *both in rows for j, t in enumerate(both)]
+    pairs = spark.createDataFrame([(2 * i, 2 * i + 1) for i, *_ in rows], "a bigint, b bigint")
+    found = {r["a"] // 2 for r in lines._verified(pairs, spark.createDataFrame(known, "id bigint, norm string"), lines.SIMILAR).collect()}
+    shared = lambda a, b: len({*a.split()} & {*b.split()}) >= lines.WORDS * min(len(a.split()), len(b.split()))
+    want = {i for i, a, b in rows if similar(a, b) and (max(len(a), len(b)) < lines.LONG or shared(a, b))}
+    assert found == want and 20 <= len(want) <= 180
+
+
 CASES = {
     "simhash": simhash.near_duplicates,
     "keep_first": simhash.keep_first,
