@@ -265,6 +265,30 @@ def test_block_prints_are_simhashes(spark):
         assert bits % (1 << 64) == want
 
 
+def test_block_prints_count_all_words(spark):
+    draw = random.Random(23)
+    sets = [[draw.getrandbits(64) - (1 << 63) for _ in range(n)] for n in [16, 17, 31, 32, 40, 100]]
+    df = spark.createDataFrame([(s,) for s in sets], "words array<bigint>").select("words", lines.simhash_block(F.col("words")).alias("bits"))
+    for words, bits in df.collect():
+        assert bits % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(w >> b & 1 for w in words) > len(words))
+
+
+def test_lines_that_share_high_blocks_only(spark):
+    """Every word of the lowest blocks is altered: what the lines share stands in all others."""
+    draw = random.Random(22)
+    vocabulary = ["".join(draw.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(4000)]
+    number = spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").alias("h")).collect()
+    low = {r["w"] for r in number if r["h"] < -(1 << 63) + (1 << 62)}  # a quarter of the blocks
+    out = []
+    for _ in range(20):
+        line = draw.sample(vocabulary, 110)
+        out += [" ".join(line), " ".join(w[:4] + "z" + w[5:] if w in low else w for w in line)]
+    docs = spark.createDataFrame(list(enumerate(out)), "doc_id bigint, text string")
+    blocks = {r["doc_id"]: len(r["buckets"]) for r in lines._lines(docs).collect()}
+    assert min(blocks.values()) > 2 * lines.KEPT
+    assert {r["doc_id"] for r in lines.line_report(docs).filter("n_removed = 1").collect()} == set(range(1, 40, 2))
+
+
 def test_fewer_changes_than_blocks_leave_a_block(spark):
     """Of the blocks that are kept, one is left if fewer words change than are kept."""
     draw = random.Random(10)
