@@ -409,6 +409,50 @@ def test_bounds_let_no_similar_pair_go(spark):
     assert len(must) >= 100 and must <= allowed
 
 
+def altered_lines():
+    """Long lines with one letter altered in three of four words: similar by edits, with few words in common."""
+    draw, out = random.Random(24), []
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(9))
+    for n in [14, 16, 40, 90] * 10:
+        line = [word() for _ in range(n)]
+        out += [" ".join(line), " ".join(w if i % 4 == 0 else w[:4] + "z" + w[5:] for i, w in enumerate(line))]
+    return out
+
+
+def test_similar_lines_with_few_words_in_common(spark):
+    """All pairs of them that share a block are linked, and none is ruled out."""
+    out = altered_lines()
+    docs = spark.createDataFrame(list(enumerate(out)), "doc_id bigint, text string")
+    occurrences = lines.materialize(lines._lines(docs), "altered")
+    held = {r["doc_id"]: r for r in occurrences.collect()}
+    met = {i for i in range(0, len(out), 2) if {*held[i]["buckets"]} & {*held[i + 1]["buckets"]}}
+    assert len(met) >= 5 and all(len({*a.split()} & {*b.split()}) < lines.WORDS * len(a.split()) for a, b in zip(out[::2], out[1::2]))
+    assert {r["doc_id"] for r in lines.line_report(docs).filter("n_removed = 1").collect()} == {i + 1 for i in met}
+    known = spark.createDataFrame(list(enumerate(out)), "id bigint, norm string")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(0, len(out), 2)], "a bigint, b bigint")
+    assert lines._verified(pairs, known, lines.SIMILAR).count() == len(out) // 2
+
+
+def test_ends_let_no_similar_pair_go(spark):
+    """All allowed edits at one end, or half of them at each, as insertions, deletions or replacements."""
+    draw, out = random.Random(25), []
+    letters = lambda n: "".join(draw.choice("abcdefghijklmnop ") for _ in range(n)).strip() or "a"
+    for n in [70, 100, 333, 800] * 12:
+        line = " ".join(letters(n).split())
+        k = len(line) // 5
+        for front, back in ((k, 0), (0, k), (k // 2, k - k // 2)):
+            inner = line[front : len(line) - back]
+            out += [(line, inner), (line, letters(front) + inner + letters(back)), (inner, letters(front // 2) + inner + letters(back // 2))]
+    out = [(" ".join(a.split()), " ".join(b.split())) for a, b in out]
+    out = [p for p in out if similar(*p)]
+    assert len(out) >= 200
+    docs = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(out) for j, t in enumerate(p)], "doc_id bigint, text string")
+    held = lines.materialize(lines._lines(docs), "ends").select("doc_id", *lines.SKETCH)
+    other = held.toDF("doc_id2", *[f"{c}2" for c in lines.SKETCH])
+    both = held.join(other, F.expr("doc_id2 = doc_id + 1 and doc_id % 2 = 0"))
+    assert both.filter(lines._may_be_similar(lines.SIMILAR)).count() == len(out)
+
+
 def test_bounds_rule_out_long_unlike_lines(spark):
     """Lines of 150 words each, hardly any in common: nearly none of their pairs needs its texts."""
     draw = random.Random(19)
